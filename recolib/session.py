@@ -21,6 +21,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     """A session for tests and the bench (a cluster brings its own)."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.session.timeZone", "UTC")
