@@ -254,3 +254,75 @@ def online_recs_asof(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     r = online.online_recs_asof(fx.rating_events, _content_sim(fx))
     return r.select("event_id", "userId", "productId", r6("score").alias("score"))
+
+
+@query
+def rating_upsert(spark, sf_dir):
+    from recolib.operators.ratings import upsert_ratings
+    fx = Fixtures(spark, sf_dir)
+    return upsert_ratings(fx.ratings, fx.rating_events)
+
+
+@query
+def stream_recs_lookup(spark, sf_dir):
+    """V9: username -> real-time list -> product rows, for every user."""
+    fx = Fixtures(spark, sf_dir)
+    lists = online.rank_lists(online.online_recs(fx.rating_events, _content_sim(fx)))
+    out = serving.user_list_products(lists, fx.users, fx.products, _averages(fx), fx.users)
+    return _enriched_out(out, "username")
+
+
+# -- factors and ALS -----------------------------------------------------------------------
+
+def _factor_lists(fx: Fixtures) -> DataFrame:
+    from recolib.operators import als
+    return als.factor_topk(fx.user_factors, fx.item_factors, C.ALS_LIST_LEN)
+
+
+@query
+def factor_topk(spark, sf_dir):
+    t = _factor_lists(Fixtures(spark, sf_dir))
+    return t.select("userId", "rank", "productId", r6("score").alias("score"))
+
+
+@query
+def offline_recs_lookup(spark, sf_dir):
+    """V8: username -> offline (factor) list -> product rows, for every user."""
+    fx = Fixtures(spark, sf_dir)
+    out = serving.user_list_products(_factor_lists(fx), fx.users, fx.products, _averages(fx), fx.users)
+    return _enriched_out(out, "username")
+
+
+@query
+def rmse_eval(spark, sf_dir):
+    """A9 on the hash split with the item-mean model (deterministic)."""
+    from recolib.operators import als
+    train, test = als.train_test(Fixtures(spark, sf_dir).ratings)
+    r = als.rmse(als.item_mean_predictions(train, test))
+    return r.select("n", r6("rmse").alias("rmse"))
+
+
+@query
+def als_user_recs(spark, sf_dir):
+    from recolib.operators import als
+    model = als.fit_als(Fixtures(spark, sf_dir).ratings)
+    return als.user_recs(model)
+
+
+@query
+def als_item_recs(spark, sf_dir):
+    from recolib.operators import als
+    model = als.fit_als(Fixtures(spark, sf_dir).ratings)
+    return als.item_recs(model)
+
+
+@query
+def als_eval(spark, sf_dir):
+    from recolib.operators import als
+    return als.als_eval(Fixtures(spark, sf_dir).ratings)
+
+
+@query
+def als_grid_search(spark, sf_dir):
+    from recolib.operators import als
+    return als.grid_search(Fixtures(spark, sf_dir).ratings)

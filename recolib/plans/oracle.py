@@ -197,3 +197,45 @@ SELECT event_id, userId, c AS productId,
                     - log10(greatest(1, sum(CASE WHEN rs <= 3 THEN 1 ELSE 0 END))), 6) AS score
 FROM pr GROUP BY event_id, userId, c""",
     "products", "ev", "tfidf", "sim")
+
+SQL["rating_upsert"] = with_ctes(
+    """evl AS (SELECT userId, productId, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY userId, productId ORDER BY "timestamp" DESC, event_id DESC) AS rn
+    FROM ev) t WHERE rn = 1),
+evf AS (SELECT userId, productId, min("timestamp") AS first_ts FROM ev GROUP BY userId, productId),
+st AS (SELECT userId, productId, min("timestamp") AS base_ts FROM ratings GROUP BY userId, productId)
+SELECT r.userId, r.productId, r.score, CAST(r."timestamp" AS BIGINT) AS "timestamp" FROM ratings r
+WHERE NOT EXISTS (SELECT 1 FROM evf WHERE evf.userId = r.userId AND evf.productId = r.productId)
+UNION ALL
+SELECT l.userId, l.productId, l.score, CAST(coalesce(st.base_ts, f.first_ts) AS BIGINT) AS "timestamp"
+FROM evl l JOIN evf f ON f.userId = l.userId AND f.productId = l.productId
+LEFT JOIN st ON st.userId = l.userId AND st.productId = l.productId""", "ratings", "ev")
+
+SQL["stream_recs_lookup"] = with_ctes(
+    f"""SELECT q.username, {_ENR} FROM (
+  SELECT DISTINCT u.username, o.productId FROM onl o JOIN users u ON u.userId = o.userId) q
+JOIN enriched e ON e.productId = q.productId""",
+    "ratings", "products", "users", "ev", "avg", "enriched", "tfidf", "sim", "online")
+
+_FACTORS = """uf AS (SELECT CAST(vec_id // 2 AS INTEGER) AS userId, CAST(embedding AS DOUBLE[]) AS f
+       FROM embeddings WHERE vec_id % 2 = 0),
+itf AS (SELECT CAST((vec_id - 1) // 2 AS INTEGER) AS productId, CAST(embedding AS DOUBLE[]) AS f
+        FROM embeddings WHERE vec_id % 2 = 1),
+fsc AS (SELECT uf.userId, itf.productId, list_dot_product(uf.f, itf.f) AS s FROM uf CROSS JOIN itf),
+frk AS (SELECT userId, productId, s,
+               row_number() OVER (PARTITION BY userId ORDER BY round(s, 9) DESC, productId) AS rn FROM fsc),
+ftop AS (SELECT userId, CAST(rn AS INTEGER) AS "rank", productId, s AS score FROM frk WHERE rn <= 50)"""
+SQL["factor_topk"] = "WITH " + _FACTORS + """
+SELECT userId, "rank", productId, round(score, 6) AS score FROM ftop"""
+SQL["offline_recs_lookup"] = with_ctes(
+    _FACTORS + f"""
+SELECT q.username, {_ENR} FROM (
+  SELECT DISTINCT u.username, t.productId FROM ftop t JOIN users u ON u.userId = t.userId) q
+JOIN enriched e ON e.productId = q.productId""", "ratings", "products", "users", "avg", "enriched")
+
+SQL["rmse_eval"] = with_ctes(
+    """sp AS (SELECT *, ((CAST(userId AS BIGINT) * 7919 + CAST(productId AS BIGINT) * 104729) % 100) < 80 AS tr
+       FROM ratings),
+mn AS (SELECT productId, avg(score) AS prediction FROM sp WHERE tr GROUP BY productId)
+SELECT count(*) AS n, round(sqrt(avg((t.score - mn.prediction) * (t.score - mn.prediction))), 6) AS rmse
+FROM sp t JOIN mn ON mn.productId = t.productId WHERE NOT t.tr""", "ratings")
