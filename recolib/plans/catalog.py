@@ -326,3 +326,37 @@ def als_eval(spark, sf_dir):
 def als_grid_search(spark, sf_dir):
     from recolib.operators import als
     return als.grid_search(Fixtures(spark, sf_dir).ratings)
+
+
+# -- streaming twins ---------------------------------------------------------------------
+
+STREAM_FILES = 4
+
+
+@query
+def stream_log_filter(spark, sf_dir):
+    """St1+St2: the log stream over several files (one per micro-batch); equals log_filter_parse."""
+    from recolib.session import scratch_path
+    from recolib.streaming.log_filter import start_log_filter
+    base = scratch_path(spark, "stream_log_filter")
+    lines = Fixtures(spark, sf_dir).log_lines
+    lines.repartitionByRange(STREAM_FILES, "event_id").select("value").write.text(f"{base}/src")
+    q = start_log_filter(spark, f"{base}/src", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query
+def stream_online_recs(spark, sf_dir):
+    """St4: real-time lists maintained by foreachBatch over the event stream;
+    the final StreamRecs equals online_recs."""
+    from recolib.session import scratch_path
+    from recolib.streaming.online import OnlineListsJob, rating_event_stream
+    fx = Fixtures(spark, sf_dir)
+    base = scratch_path(spark, "stream_online_recs")
+    _content_sim(fx).write.parquet(f"{base}/sim")           # static side, lineage cut
+    fx.rating_events.repartitionByRange(STREAM_FILES, "timestamp", "event_id").write.parquet(f"{base}/src")
+    job = OnlineListsJob(spark, spark.read.parquet(f"{base}/sim"), f"{base}/state")
+    q = job.start(rating_event_stream(spark, f"{base}/src", max_files_per_trigger=1), f"{base}/ckpt")
+    q.awaitTermination()
+    return job.current_lists().select("userId", "productId", r6("score").alias("score"))

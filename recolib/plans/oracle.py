@@ -239,3 +239,6 @@ SQL["rmse_eval"] = with_ctes(
 mn AS (SELECT productId, avg(score) AS prediction FROM sp WHERE tr GROUP BY productId)
 SELECT count(*) AS n, round(sqrt(avg((t.score - mn.prediction) * (t.score - mn.prediction))), 6) AS rmse
 FROM sp t JOIN mn ON mn.productId = t.productId WHERE NOT t.tr""", "ratings")
+
+SQL["stream_log_filter"] = SQL["log_filter_parse"]
+SQL["stream_online_recs"] = SQL["online_recs"]
