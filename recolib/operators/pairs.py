@@ -60,11 +60,26 @@ def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = N
 
 def mirror(pairs: DataFrame, a: str, b: str, suffixed: tuple[str, ...] = ()) -> DataFrame:
     """Both orientations of an upper-triangle pair table: (a, b) and (b, a);
-    ``suffixed`` columns swap their ``_1`` / ``_2`` versions."""
+    ``suffixed`` columns swap their ``_1`` / ``_2`` versions.
+
+    One pass: each row becomes a two-element array that is inlined, so the
+    (expensive) pair table is computed once and never unioned with itself.
+    """
     cols = pairs.columns
     swap = {a: b, b: a}
     for c in suffixed:
         swap[f"{c}_1"] = f"{c}_2"
         swap[f"{c}_2"] = f"{c}_1"
-    flipped = pairs.select(*[F.col(swap.get(c, c)).alias(c) for c in cols])
-    return pairs.unionByName(flipped)
+    fwd = F.struct(*[F.col(c).alias(c) for c in cols])
+    rev = F.struct(*[F.col(swap.get(c, c)).alias(c) for c in cols])
+    return pairs.select(F.inline(F.array(fwd, rev)))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise a reused intermediate in the session's checkpoint folder
+    (``spark.checkpoint.dir``, shared storage on a cluster) and cut its lineage,
+    so later branches scan it instead of recomputing it and a lost executor does
+    not force a recomputation from the source tables."""
+    from recolib.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
