@@ -1,0 +1,80 @@
+import math
+from collections import Counter
+
+import pytest
+
+from recolib.operators import content
+
+
+def products_df(spark, rows):
+    return spark.createDataFrame(rows, "productId int, name string, imageUrl string, categories string, tags string")
+
+
+PRODUCTS = [
+    (1, "a", "", "", "red|bolt|Brand#1|SMALL"),
+    (2, "b", "", "", "red|bolt|Brand#1|SMALL"),      # identical to 1
+    (3, "c", "", "", "red|ring|Brand#1|LARGE"),
+    (4, "d", "", "", "blue|ring|Brand#2|LARGE"),
+    (5, "e", "", "", "blue|ring|Brand#2|LARGE|blue"),
+    (6, "f", "", "", "green|rod|Brand#3|SMALL"),
+    (7, "g", "", "", "Brand#1"),
+]
+
+
+def brute_cosine(rows, threshold=0.4):
+    toks = {pid: tags.lower().replace("|", " ").split(" ") for pid, _, _, _, tags in rows}
+    m = len(toks)
+    df = Counter(t for ts in toks.values() for t in set(ts))
+    vec = {p: {t: c * math.log((m + 1) / (df[t] + 1)) for t, c in Counter(ts).items()} for p, ts in toks.items()}
+    out = {}
+    for a in vec:
+        for b in vec:
+            if a == b:
+                continue
+            na = math.sqrt(sum(v * v for v in vec[a].values()))
+            nb = math.sqrt(sum(v * v for v in vec[b].values()))
+            if na == 0 or nb == 0:
+                continue
+            s = sum(vec[a][t] * vec[b].get(t, 0.0) for t in vec[a]) / (na * nb)
+            if s > threshold:
+                out[(a, b)] = s
+    return out
+
+
+@pytest.mark.parametrize("collapse", [True, False])
+@pytest.mark.parametrize("block", [2, 2048])
+def test_cosine_matches_brute_force(spark, collapse, block):
+    p = products_df(spark, PRODUCTS)
+    w = content.weighted_norms(content.tfidf_weights(p))
+    got = {(r.productId, r.simProductId): r.score
+           for r in content.cosine_pairs(w, block=block, collapse=collapse).collect()}
+    want = brute_cosine(PRODUCTS)
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-12)
+    assert got[(1, 2)] == pytest.approx(1.0)
+
+
+def test_zero_vector_never_matches(spark):
+    # a tag present in every product has idf 0 -> product 2 is a zero vector
+    rows = [(1, "a", "", "", "common|x"), (2, "b", "", "", "common"), (3, "c", "", "", "common|x")]
+    p = products_df(spark, rows)
+    got = content.content_pairs(p).collect()
+    assert {(r.productId, r.simProductId) for r in got} == {(1, 3), (3, 1)}
+
+
+def test_lists_sorted_and_absent_when_empty(spark):
+    p = products_df(spark, PRODUCTS)
+    lists = {r.productId: r.recs for r in content.content_lists(content.content_pairs(p)).collect()}
+    for recs in lists.values():
+        scores = [x.score for x in recs]
+        assert scores == sorted(scores, reverse=True)
+    assert 6 not in lists          # no neighbour above the threshold
+    flat = content.flatten_lists(content.content_lists(content.content_pairs(p)))
+    assert flat.count() == content.content_pairs(p).count()
+
+
+def test_hashed_variant_runs(spark):
+    p = products_df(spark, PRODUCTS)
+    rows = content.hashed_content_pairs(p).collect()
+    assert all(r.score > 0.4 and r.productId != r.simProductId for r in rows)

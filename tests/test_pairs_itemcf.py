@@ -1,0 +1,68 @@
+import itertools
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from recolib.operators import itemcf
+from recolib.operators.pairs import gram_pairs, mirror
+
+
+def brute_gram(rows):
+    by_g = defaultdict(dict)
+    for g, i, w in rows:
+        by_g[g][i] = by_g[g].get(i, 0) + w
+    out = Counter()
+    for items in by_g.values():
+        for a, b in itertools.combinations(sorted(items), 2):
+            out[(a, b)] += items[a] * items[b]
+    return dict(out)
+
+
+@pytest.mark.parametrize("block", [2, 3, 1000])
+def test_gram_bucketed_equals_brute_force(spark, block):
+    rnd = random.Random(7)
+    rows = {}
+    for g in range(6):
+        size = 40 if g == 0 else rnd.randint(1, 6)       # group 0 is a hot group
+        for i in rnd.sample(range(60), size):
+            rows[(g, i)] = rnd.randint(1, 3)
+    data = [(g, i, w) for (g, i), w in rows.items()]
+    df = spark.createDataFrame(data, "g int, i int, w int")
+    got = {(r.i, r.j): r.s for r in gram_pairs(df, "g", "i", "w", block=block, out_weight="s").collect()}
+    assert got == brute_gram(data)
+
+
+def test_mirror_swaps_suffixed(spark):
+    df = spark.createDataFrame([(1, 2, 10, 20, 5)], "i int, j int, n_1 int, n_2 int, g int")
+    got = sorted(tuple(r) for r in mirror(df, "i", "j", ("n",)).collect())
+    assert got == [(1, 2, 10, 20, 5), (2, 1, 20, 10, 5)]
+
+
+def ratings_df(spark, rows):
+    return spark.createDataFrame(rows, "userId int, productId int, score double, timestamp int")
+
+
+def test_item_cf_counts_repeated_ratings(spark):
+    # user 1 rated item 10 twice: the join counts both rows
+    rows = [(1, 10, 5.0, 1), (1, 10, 3.0, 2), (1, 11, 4.0, 3), (2, 11, 2.0, 4), (2, 12, 1.0, 5),
+            (3, 13, 4.0, 6)]                         # item 13: only rated by a user rating nothing else
+    r = ratings_df(spark, rows)
+    pairs = {(x.productId, x.simProductId): (x.co, x.score) for x in itemcf.item_cf_pairs(r).collect()}
+    # n10 = 2, n11 = 2, co(10, 11) = 2 rows x 1 row = 2 -> 2 / sqrt(4) = 1.0
+    assert pairs[(10, 11)] == (2, pytest.approx(1.0))
+    assert pairs[(11, 10)] == (2, pytest.approx(1.0))
+    assert pairs[(11, 12)] == (1, pytest.approx(1 / (2 ** 0.5)))
+    assert (10, 10) not in pairs
+    sizes = {x.productId: x.list_size for x in itemcf.item_cf_list_sizes(r).collect()}
+    assert sizes == {10: 1, 11: 2, 12: 1, 13: 0}
+    lists = {x.productId: x.recs for x in itemcf.item_cf_lists(r).collect()}
+    assert lists[13] == []
+    assert [e.productId for e in lists[11]] == [10, 12]
+
+
+def test_item_cf_top_k_ties_by_id(spark):
+    # item 1 co-occurs once with 2..13, all with the same score
+    rows = [(u, 1, 5.0, 1) for u in range(12)] + [(u, u + 2, 5.0, 2) for u in range(12)]
+    top = itemcf.item_cf_top(ratings_df(spark, rows), k=10).where("productId = 1").orderBy("rank").collect()
+    assert [t.simProductId for t in top] == list(range(2, 12))
