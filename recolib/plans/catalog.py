@@ -40,6 +40,14 @@ def _content_sim(fx: Fixtures) -> DataFrame:
     return content.content_pairs(fx.products)
 
 
+def _online_sim(fx: Fixtures) -> DataFrame:
+    """The similarity rows online scoring can reach: every row touching an item
+    of the rating events (trigger and recent items; cosine is symmetric). Equal
+    to looking the same keys up in the full content table."""
+    entries = content.weighted_norms(content.tfidf_weights(fx.products))
+    return content.cosine_rows_for(entries, fx.rating_events.select("productId"))
+
+
 def _averages(fx: Fixtures) -> DataFrame:
     return S.average_products(fx.ratings)
 
@@ -238,21 +246,21 @@ def recent_queue_cap(spark, sf_dir):
 def online_candidates(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     ev = fx.rating_events
-    c = online.candidates(online.latest_triggers(ev), _content_sim(fx), online.rated_items(ev))
+    c = online.candidates(online.latest_triggers(ev), _online_sim(fx), online.rated_items(ev))
     return c.select("userId", "rank", "productId", r6("sim").alias("sim"))
 
 
 @query
 def online_recs(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    r = online.online_recs(fx.rating_events, _content_sim(fx))
+    r = online.online_recs(fx.rating_events, _online_sim(fx))
     return r.select("userId", "productId", r6("score").alias("score"))
 
 
 @query
 def online_recs_asof(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    r = online.online_recs_asof(fx.rating_events, _content_sim(fx))
+    r = online.online_recs_asof(fx.rating_events, _online_sim(fx))
     return r.select("event_id", "userId", "productId", r6("score").alias("score"))
 
 
@@ -267,7 +275,7 @@ def rating_upsert(spark, sf_dir):
 def stream_recs_lookup(spark, sf_dir):
     """V9: username -> real-time list -> product rows, for every user."""
     fx = Fixtures(spark, sf_dir)
-    lists = online.rank_lists(online.online_recs(fx.rating_events, _content_sim(fx)))
+    lists = online.rank_lists(online.online_recs(fx.rating_events, _online_sim(fx)))
     out = serving.user_list_products(lists, fx.users, fx.products, _averages(fx), fx.users)
     return _enriched_out(out, "username")
 
@@ -354,9 +362,11 @@ def stream_online_recs(spark, sf_dir):
     from recolib.streaming.online import OnlineListsJob, rating_event_stream
     fx = Fixtures(spark, sf_dir)
     base = scratch_path(spark, "stream_online_recs")
-    _content_sim(fx).write.parquet(f"{base}/sim")           # static side, lineage cut
+    # static side: the tf-idf entries (linear in the catalogue), written once so
+    # no batch recomputes them; each batch derives the similarity rows it needs.
+    content.weighted_norms(content.tfidf_weights(fx.products)).write.parquet(f"{base}/entries")
     fx.rating_events.repartitionByRange(STREAM_FILES, "timestamp", "event_id").write.parquet(f"{base}/src")
-    job = OnlineListsJob(spark, spark.read.parquet(f"{base}/sim"), f"{base}/state")
+    job = OnlineListsJob(spark, None, f"{base}/state", entries=spark.read.parquet(f"{base}/entries"))
     q = job.start(rating_event_stream(spark, f"{base}/src", max_files_per_trigger=1), f"{base}/ckpt")
     q.awaitTermination()
     return job.current_lists().select("userId", "productId", r6("score").alias("score"))

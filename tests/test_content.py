@@ -78,3 +78,18 @@ def test_hashed_variant_runs(spark):
     p = products_df(spark, PRODUCTS)
     rows = content.hashed_content_pairs(p).collect()
     assert all(r.score > 0.4 and r.productId != r.simProductId for r in rows)
+
+
+def test_rows_for_items_equal_full_table_rows(spark):
+    p = products_df(spark, PRODUCTS)
+    w = content.weighted_norms(content.tfidf_weights(p))
+    full = {(r.productId, r.simProductId): r.score for r in content.cosine_pairs(w).collect()}
+    items = spark.createDataFrame([(1,), (4,), (4,), (6,)], "productId int")
+    got = {}
+    for r in content.cosine_rows_for(w, items).collect():
+        assert (r.productId, r.simProductId) not in got        # no duplicate rows
+        got[(r.productId, r.simProductId)] = r.score
+    want = {k: v for k, v in full.items() if k[0] in (1, 4, 6) or k[1] in (1, 4, 6)}
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-12)
