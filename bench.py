@@ -36,7 +36,10 @@ def main() -> None:
     from recolib.plans.catalog import QUERIES
     from recolib.session import build_session
 
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * int(cpus)))
+    # 4 shuffle partitions per core, 16 MB AQE target: enough tasks for the
+    # exploding pair joins to balance across cores.
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 4 * int(cpus)),
+                          extra={"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"})
     # warm-up: JVM, parquet footers, codegen caches
     QUERIES["rate_more_products"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

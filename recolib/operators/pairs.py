@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_BLOCK = 2048
+DEFAULT_BLOCK = 512
 
 
 def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = None,
@@ -53,11 +53,22 @@ def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = N
                          F.col("_i").alias("j"), F.col("_w").alias("_w2"),
                          *[F.col(c).alias(f"{c}_2") for c in carry])
 
-    joined = left.join(right, ["_g", "_b1", "_b2"]).where(F.col("i") < F.col("j"))
+    # The join multiplies rows (about d^2/2 per group), so its input size says
+    # nothing about its output: pin the partition count instead of letting AQE
+    # coalesce a small input into a few tasks that then emit most of the pairs.
+    n = join_partitions(entries)
+    keys3 = ["_g", "_b1", "_b2"]
+    joined = (left.repartition(n, *keys3).join(right.repartition(n, *keys3), keys3)
+              .where(F.col("i") < F.col("j")))
     keys = ["i", "j", *[f"{c}_1" for c in carry], *[f"{c}_2" for c in carry]]
     return joined.groupBy(*keys).agg(F.sum(F.col("_w1") * F.col("_w2")).alias(out_weight))
 
 
+def join_partitions(df: DataFrame) -> int:
+    """Partitions for an exploding join: the session's shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def mirror(pairs: DataFrame, a: str, b: str, suffixed: tuple[str, ...] = ()) -> DataFrame:
     """Both orientations of an upper-triangle pair table: (a, b) and (b, a);
     ``suffixed`` columns swap their ``_1`` / ``_2`` versions.
