@@ -95,6 +95,11 @@ def java_string_hash(s) -> Column:
     return F.when(h >= 2147483648, h - 4294967296).otherwise(h).cast("int")
 
 
+def ms_to_seconds(ms) -> Column:
+    """A millisecond event time (as the web tier stores it) -> epoch seconds."""
+    return F.floor(_col(ms) / 1000).cast("bigint")
+
+
 def parse_recent_item(item) -> dict[str, Column]:
     """P23: 'productId:score' -> (productId, score)."""
     parts = F.split(_col(item), C.RECENT_ITEM_SEP)

@@ -55,13 +55,20 @@ def most_rated_products(counts: DataFrame, products: DataFrame, averages: DataFr
 
 
 def similar_products(item_recs_flat: DataFrame, products: DataFrame, averages: DataFrame,
-                     query_ids: DataFrame) -> DataFrame:
+                     query_ids: DataFrame, ordered: bool = False) -> DataFrame:
     """V3/V4: for each queried product, the products of its similar-items list.
 
-    ``item_recs_flat`` is (productId, simProductId, score); output is
-    (queryId, <product columns>, score) with the list's order and duplicates dropped.
+    ``item_recs_flat`` is (productId, [rank,] simProductId, score); output is
+    (queryId, <product columns>, score) with the list's order and duplicates
+    dropped, as the reference returns it. ``ordered=True`` keeps the list's
+    rank and similarity as ``rank`` and ``sim`` instead.
     """
     q = query_ids.select(F.col("productId").alias("queryId")).distinct()
+    if ordered:
+        cols = [F.col("productId").alias("queryId"), F.col("simProductId").alias("productId"),
+                F.col("score").alias("sim")] + ([F.col("rank")] if "rank" in item_recs_flat.columns else [])
+        recs = item_recs_flat.select(*cols).join(q, "queryId", "left_semi")
+        return recs.join(product_enriched(products, averages), "productId")
     pairs = (item_recs_flat.select(F.col("productId").alias("queryId"), F.col("simProductId").alias("productId"))
              .join(q, "queryId", "left_semi").distinct())
     enriched = product_enriched(products, averages)
