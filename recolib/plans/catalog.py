@@ -40,12 +40,21 @@ def _content_sim(fx: Fixtures) -> DataFrame:
     return content.content_pairs(fx.products)
 
 
-def _online_sim(fx: Fixtures) -> DataFrame:
+def _events(fx: Fixtures) -> DataFrame:
+    """Parsed rating events, materialised once: triggers, rated sets, recents
+    and the similarity rows all read them, and parsing ``props`` is the
+    expensive part."""
+    from recolib.operators.pairs import cut_lineage
+    return cut_lineage(fx.rating_events)
+
+
+def _online_sim(fx: Fixtures, events: DataFrame) -> DataFrame:
     """The similarity rows online scoring can reach: every row touching an item
     of the rating events (trigger and recent items; cosine is symmetric). Equal
     to looking the same keys up in the full content table."""
-    entries = content.weighted_norms(content.tfidf_weights(fx.products))
-    return content.cosine_rows_for(entries, fx.rating_events.select("productId"))
+    from recolib.operators.pairs import cut_lineage
+    entries = cut_lineage(content.weighted_norms(content.tfidf_weights(fx.products)))
+    return content.cosine_rows_for(entries, events.select("productId"))
 
 
 def _averages(fx: Fixtures) -> DataFrame:
@@ -245,22 +254,24 @@ def recent_queue_cap(spark, sf_dir):
 @query
 def online_candidates(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    ev = fx.rating_events
-    c = online.candidates(online.latest_triggers(ev), _online_sim(fx), online.rated_items(ev))
+    ev = _events(fx)
+    c = online.candidates(online.latest_triggers(ev), _online_sim(fx, ev), online.rated_items(ev))
     return c.select("userId", "rank", "productId", r6("sim").alias("sim"))
 
 
 @query
 def online_recs(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    r = online.online_recs(fx.rating_events, _online_sim(fx))
+    ev = _events(fx)
+    r = online.online_recs(ev, _online_sim(fx, ev))
     return r.select("userId", "productId", r6("score").alias("score"))
 
 
 @query
 def online_recs_asof(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    r = online.online_recs_asof(fx.rating_events, _online_sim(fx))
+    ev = _events(fx)
+    r = online.online_recs_asof(ev, _online_sim(fx, ev))
     return r.select("event_id", "userId", "productId", r6("score").alias("score"))
 
 
@@ -275,7 +286,8 @@ def rating_upsert(spark, sf_dir):
 def stream_recs_lookup(spark, sf_dir):
     """V9: username -> real-time list -> product rows, for every user."""
     fx = Fixtures(spark, sf_dir)
-    lists = online.rank_lists(online.online_recs(fx.rating_events, _online_sim(fx)))
+    ev = _events(fx)
+    lists = online.rank_lists(online.online_recs(ev, _online_sim(fx, ev)))
     out = serving.user_list_products(lists, fx.users, fx.products, _averages(fx), fx.users)
     return _enriched_out(out, "username")
 
