@@ -93,3 +93,16 @@ def test_rows_for_items_equal_full_table_rows(spark):
     assert set(got) == set(want)
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-12)
+
+
+def test_native_hashed_weights_equal_ml_pipeline(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    p = products_df(spark, PRODUCTS + [(8, "h", "", "", "mouse|abcd||x")])
+    ml = content.hashed_tfidf(p).select("productId", vector_to_array("features").alias("v"))
+    want = {(r.productId, i): w for r in ml.collect() for i, w in enumerate(r.v) if w != 0}
+    got = {(r.productId, r.term): r.weight for r in content.hashed_weights(p).where(F.col("weight") != 0).collect()}
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=1e-12)
