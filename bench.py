@@ -18,6 +18,7 @@ HEADLINE = [
     "rate_more_recently_products",
     "average_products",
     "hot_products",
+    "item_cf_pairs",
     "item_cf_top10",
     "content_pairs",
     "online_recs",
