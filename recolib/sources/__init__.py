@@ -1 +1,5 @@
-from recolib.sources.fixtures import Fixtures  # noqa: F401
+"""Sources: fixture tables, text parsers, result store."""
+
+from recolib.sources.fixtures import Fixtures
+
+__all__ = ["Fixtures"]

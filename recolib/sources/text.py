@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from recolib import config as C
 from recolib.functions import columns as X
 
 
