@@ -34,11 +34,23 @@ def rating_messages(lines: DataFrame) -> DataFrame:
     return text.log_filter_parse(lines)
 
 
-def start_log_filter(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
+def start_log_filter(spark: SparkSession, source_dir: str, sink_dir: str | None, checkpoint: str,
                      available_now: bool = True, max_files_per_trigger: int | None = None,
-                     sink_format: str = "parquet"):
-    """Run the log filter stream; returns the StreamingQuery."""
-    msgs = rating_messages(log_stream(spark, source_dir, max_files_per_trigger))
-    w = msgs.writeStream.format(sink_format).option("path", sink_dir).option("checkpointLocation", checkpoint)
+                     sink_format: str = "parquet", payload_only: bool = False,
+                     sink_options: dict | None = None):
+    """Run the log filter stream; returns the StreamingQuery.
+
+    ``payload_only`` forwards the trimmed ``user|item|score|ts`` text as a single
+    ``value`` column (the topic-to-topic form, for a ``text`` or ``kafka`` sink,
+    the latter with ``sink_options`` such as ``kafka.bootstrap.servers`` and
+    ``topic``); otherwise the parsed, typed columns are written.
+    """
+    lines = log_stream(spark, source_dir, max_files_per_trigger)
+    msgs = text.filter_log(lines) if payload_only else rating_messages(lines)
+    w = msgs.writeStream.format(sink_format).option("checkpointLocation", checkpoint)
+    if sink_dir:
+        w = w.option("path", sink_dir)
+    for k, v in (sink_options or {}).items():
+        w = w.option(k, v)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=C.STREAM_TRIGGER)
     return w.start()

@@ -59,3 +59,14 @@ def test_retried_batch_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(job.log_dir).count() == ev.count()
     cols = ["userId", "productId", "score"]
     assert rows(job.current_lists(), cols) == rows(online.online_recs(ev, sim), cols)
+
+
+def test_log_filter_payload_stream(spark, tmp_dir):
+    fx = Fixtures(spark, SF_SMALL)
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt"))
+    fx.log_lines.select("value").write.text(src)
+    q = start_log_filter(spark, src, out, ckpt, sink_format="text", payload_only=True)
+    q.awaitTermination()
+    got = sorted(r.value for r in spark.read.text(out).collect())
+    want = sorted(r.value for r in text.filter_log(fx.log_lines).collect())
+    assert got == want and all(v.count("|") == 3 for v in got)
