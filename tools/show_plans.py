@@ -16,12 +16,14 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summary(plan: str) -> str:
-    count = lambda pat: len(re.findall(pat, plan))
+    tree = plan.split("\n\n\n")[0]                      # the operator tree, not the details
+    count = lambda pat: len(re.findall(pat, tree))
     scans = sorted(set(re.findall(r"ReadSchema: (struct<[^>]*>)", plan)))
     pushed = sorted(set(p for p in re.findall(r"PushedFilters: (\[[^\]]*\])", plan) if p != "[]"))
-    return (f"exchanges={count(r'Exchange ')} smj={count(r'SortMergeJoin')} bhj={count(r'BroadcastHashJoin')} "
+    return (f"shuffles={count(r'[+-] Exchange')} broadcasts={count(r'BroadcastExchange')} "
+            f"smj={count(r'SortMergeJoin')} bhj={count(r'BroadcastHashJoin')} "
             f"windowGroupLimit={count(r'WindowGroupLimit')} hashAgg={count(r'HashAggregate')} "
-            f"codegenOps={count(r'\* [A-Za-z]+ \(\d+\)')}\n  scans: {scans}\n  pushed: {pushed}")
+            f"rddScans(checkpointed)={count(r'Scan ExistingRDD')}\n  scans: {scans}\n  pushed: {pushed}")
 
 
 def main() -> None:
