@@ -66,3 +66,30 @@ def test_item_cf_top_k_ties_by_id(spark):
     rows = [(u, 1, 5.0, 1) for u in range(12)] + [(u, u + 2, 5.0, 2) for u in range(12)]
     top = itemcf.item_cf_top(ratings_df(spark, rows), k=10).where("productId = 1").orderBy("rank").collect()
     assert [t.simProductId for t in top] == list(range(2, 12))
+
+
+def test_item_cf_with_hot_user_matches_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [(0, rnd.randint(0, 79), 5.0, t) for t in range(120)]             # user 0: a third of all rows
+    rows += [(u, rnd.randint(0, 79), 3.0, t) for u in range(1, 60) for t in range(4)]
+    r = ratings_df(spark, rows)
+    n = Counter(p for _, p, _, _ in rows)
+    by_user = defaultdict(list)
+    for u, p, _, _ in rows:
+        by_user[u].append(p)
+    co = Counter()
+    for items in by_user.values():
+        for a in items:
+            for b in items:
+                if a != b:
+                    co[(a, b)] += 1
+    want = {k: v / (n[k[0]] * n[k[1]]) ** 0.5 for k, v in co.items()}
+    got = {(x.productId, x.simProductId): x.score for x in itemcf.item_cf_pairs(r, block=8).collect()}
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k], rel=1e-12)
+    top = itemcf.item_cf_top(r, k=10, block=8).collect()
+    for p in {x.productId for x in top}:
+        mine = sorted((x.rank, x.simProductId) for x in top if x.productId == p)
+        ranked = sorted(((-round(s, 9), q) for (a, q), s in want.items() if a == p))[:10]
+        assert [q for _, q in mine] == [q for _, q in ranked]
