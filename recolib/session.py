@@ -25,7 +25,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # checkpointed intermediates are removed once nothing references them
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**SQL_DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
