@@ -23,9 +23,12 @@ def upsert_ratings(base: DataFrame, events: DataFrame) -> DataFrame:
     """
     ev = latest_per_pair(events)
     keys = ["userId", "productId"]
-    stored = base.groupBy(*keys).agg(F.min("timestamp").cast("bigint").alias("base_ts"))
+    touched_keys = ev.select(*keys)
+    # only the stored rows of touched pairs are aggregated, not the whole table
+    stored = (base.join(touched_keys, keys, "left_semi")
+              .groupBy(*keys).agg(F.min("timestamp").cast("bigint").alias("base_ts")))
     touched = ev.join(stored, keys, "left").select(
         *keys, "score", F.coalesce("base_ts", "first_ts").cast("bigint").alias("timestamp"))
-    untouched = base.join(ev.select(*keys), keys, "left_anti").select(
+    untouched = base.join(touched_keys, keys, "left_anti").select(
         *keys, "score", F.col("timestamp").cast("bigint").alias("timestamp"))
     return untouched.unionByName(touched)
