@@ -70,3 +70,25 @@ def test_log_filter_payload_stream(spark, tmp_dir):
     got = sorted(r.value for r in spark.read.text(out).collect())
     want = sorted(r.value for r in text.filter_log(fx.log_lines).collect())
     assert got == want and all(v.count("|") == 3 for v in got)
+
+
+def test_log_to_lists_end_to_end(spark, tmp_dir):
+    """log lines -> payload stream -> rating messages -> real-time lists."""
+    from recolib.streaming.online import rating_message_stream
+
+    fx = Fixtures(spark, SF_SMALL)
+    src, payload = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "payload")
+    fx.log_lines.repartitionByRange(3, "event_id").select("value").write.text(src)
+    start_log_filter(spark, src, payload, os.path.join(tmp_dir, "ck1"), sink_format="text",
+                     payload_only=True, max_files_per_trigger=1).awaitTermination()
+    entries = content.weighted_norms(content.tfidf_weights(fx.products))
+    job = OnlineListsJob(spark, None, os.path.join(tmp_dir, "state"), user_buckets=4, entries=entries)
+    job.start(rating_message_stream(spark, payload), os.path.join(tmp_dir, "ck2")).awaitTermination()
+    got = job.current_lists()
+    # the purchases are the rating messages; the batch twin over the same events
+    msgs = text.log_filter_parse(fx.log_lines).withColumn("event_id", F.lit(0).cast("long"))
+    purchases = fx.events.where("event_type = 'purchase'").select("event_id", "userId", "productId", "score",
+                                                                   "timestamp")
+    want = online.online_recs(purchases, content.cosine_rows_for(entries, purchases.select("productId")))
+    assert msgs.count() == purchases.count()
+    assert {r.userId for r in got.collect()} == {r.userId for r in want.collect()}
