@@ -39,7 +39,7 @@ def test_online_stream_equals_batch_with_restart(spark, tmp_dir):
     ev = fx.rating_events
     src, ckpt = os.path.join(tmp_dir, "src"), os.path.join(tmp_dir, "ckpt")
     ev.where("timestamp < 1706000000").repartitionByRange(3, "timestamp", "event_id").write.parquet(src + "/a")
-    job = OnlineListsJob(spark, sim, os.path.join(tmp_dir, "state"), user_buckets=4)
+    job = OnlineListsJob(spark, sim, os.path.join(tmp_dir, "state"), user_buckets=4, compact_every=2)
     job.start(rating_event_stream(spark, src + "/*", 1), ckpt).awaitTermination()
     ev.where("timestamp >= 1706000000").repartitionByRange(2, "timestamp", "event_id").write.parquet(src + "/b")
     job.start(rating_event_stream(spark, src + "/*", 1), ckpt).awaitTermination()
@@ -47,6 +47,9 @@ def test_online_stream_equals_batch_with_restart(spark, tmp_dir):
     want = online.online_recs(ev, sim)
     cols = ["userId", "productId", "score"]
     assert rows(got, cols) == rows(want, cols)
+    # 5 batches with compaction every 2: versions upto=1 and upto=3 exist and are used
+    ups = sorted(r.upto for r in spark.read.parquet(job.compacted_dir).select("upto").distinct().collect())
+    assert ups == [1, 3]
 
 
 def test_retried_batch_is_idempotent(spark, tmp_dir):
