@@ -382,3 +382,20 @@ def stream_online_recs(spark, sf_dir):
     q = job.start(rating_event_stream(spark, f"{base}/src", max_files_per_trigger=1), f"{base}/ckpt")
     q.awaitTermination()
     return job.current_lists().select("userId", "productId", r6("score").alias("score"))
+
+
+@query
+def content_recs_to_products(spark, sf_dir):
+    """V4: for each product users act on, the products of its content list."""
+    fx = Fixtures(spark, sf_dir)
+    out = serving.similar_products(_content_sim(fx), fx.products, _averages(fx), _query_items(fx))
+    return _enriched_out(out, "queryId")
+
+
+@query
+def recs_ranked_products(spark, sf_dir):
+    """V3 with ``ordered=True``: list rank and similarity kept with the products."""
+    fx = Fixtures(spark, sf_dir)
+    out = serving.similar_products(itemcf.item_cf_top(fx.ratings), fx.products, _averages(fx),
+                                   _query_items(fx), ordered=True)
+    return out.select("queryId", "rank", r6("sim").alias("sim"), *serving.PRODUCT_COLS, r6("score").alias("score"))

@@ -242,3 +242,13 @@ FROM sp t JOIN mn ON mn.productId = t.productId WHERE NOT t.tr""", "ratings")
 
 SQL["stream_log_filter"] = SQL["log_filter_parse"]
 SQL["stream_online_recs"] = SQL["online_recs"]
+
+SQL["content_recs_to_products"] = with_ctes(
+    f"""SELECT q.queryId, {_ENR} FROM (
+  SELECT DISTINCT productId AS queryId, simProductId FROM sim
+  WHERE productId IN (SELECT productId FROM ev)) q JOIN enriched e ON e.productId = q.simProductId""",
+    "ratings", "products", "ev", "avg", "enriched", "tfidf", "sim")
+SQL["recs_ranked_products"] = with_ctes(
+    f"""SELECT t.productId AS queryId, t."rank", round(t.score, 6) AS sim, {_ENR}
+FROM cftop t JOIN enriched e ON e.productId = t.simProductId
+WHERE t.productId IN (SELECT productId FROM ev)""", "ratings", "products", "ev", "avg", "enriched", "cf")

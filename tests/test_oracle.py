@@ -11,7 +11,8 @@ FAST = ["ratings_projection", "product_text_parse", "log_filter_parse", "user_id
         "rate_more_products", "rate_more_recently_products", "average_products", "hot_products",
         "most_rated_products", "product_search_regex", "item_cf_top10", "item_cf_list_sizes",
         "tfidf_weights", "content_pairs", "similarity_flatten", "recent_ratings_k", "online_candidates",
-        "online_recs", "online_recs_asof", "rating_upsert", "factor_topk", "rmse_eval", "recs_to_products"]
+        "online_recs", "online_recs_asof", "rating_upsert", "factor_topk", "rmse_eval", "recs_to_products",
+        "content_recs_to_products", "recs_ranked_products"]
 
 
 @pytest.fixture(scope="module")
