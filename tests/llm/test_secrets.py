@@ -1,0 +1,100 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from recolib.llm import secrets
+from recolib.llm.queries import op4_secret_scan
+from tests.llm.edge import SCHEMA, edge_frame, edge_rows, empty_frame, row
+
+SF = "/root/testdata/sf0.01"
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base_spans(t):
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 12]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
+    return out + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 16]
+
+
+def entropy(s):
+    return -sum(n / len(s) * math.log2(n / len(s)) for n in Counter(s).values())
+
+
+def all_spans(t):
+    base = base_spans(t)
+    out = list(base)
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", t):
+        if re.search(secrets.ALLOWED, m[0]) or any(a < m.end() and m.start() < z for a, _, z in base):
+            continue
+        least = next(bits for p, bits in secrets.THRESHOLDS if re.search(p, m[0]))
+        hot = [i for i in range(len(m[0]) - 19) if entropy(m[0][i:i + 20]) >= least - 1e-9]
+        if hot:
+            out.append((m.start() + hot[0], 3, m.start() + hot[-1] + 20))
+    return sorted(base), sorted(out)
+
+
+def joined(spans):
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{z}" for a, k, z in spans)
+
+
+def want(doc_id, text):
+    base, every = all_spans(text or "")
+    n = Counter(k for _, k, _ in every)
+    return (doc_id, n[0], n[1], n[2], hashlib.sha256(joined(base).encode()).hexdigest(), joined(every), n[3])
+
+
+def made_up(n=150):
+    r = random.Random(5)
+    pool = ["password", "Token", "API_KEY", "apikey", "secret", ":", "=", " ", "  ", '"', "'", "\n", "é", "😀", "AKIA",
+            "AKIA" + "Q7" * 9, "token=secret: abcdefghijklmnop", "0123456789abcdef", "deadbeefdeadbeef0", "the cat",
+            "EXAMPLEkey123456789012345", "123e4567-e89b-12d3-a456-426614174000", "x" * 30, "1" * 25]
+    def piece():
+        if r.random() < 0.3:
+            return "".join(r.choices(secrets.ALPHABET if r.random() < .5 else "abcdef0123456789", k=r.randint(1, 60)))
+        return r.choice(pool)
+    return [row(i, "".join(piece() for _ in range(r.randint(0, 25)))) for i in range(n)]
+
+
+def test_made_up_texts_by_brute_force(spark):
+    rows = made_up()
+    got = sorted(map(tuple, secrets.found_secrets(spark.createDataFrame(rows, SCHEMA)).collect()))
+    expected = [want(r[0], r[1]) for r in rows]
+    assert got == expected
+    assert all(sum(w[k] for w in expected) > 5 for k in (1, 2, 3, 6))
+
+
+def test_documents_by_brute_force(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: tuple(r) for r in op4_secret_scan(spark, SF).collect()}
+    assert got == {k: want(k, t) for k, t in docs.items()}
+    assert sum(r[1] + r[2] + r[3] for r in got.values()) > 10
+
+
+def test_edge_rows_and_empty(spark):
+    got = sorted(map(tuple, secrets.found_secrets(edge_frame(spark)).collect()), key=str)
+    assert got == sorted((want(r[0], r[1]) for r in edge_rows()), key=str)
+    assert secrets.found_secrets(empty_frame(spark)).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = secrets.found_secrets(edge_frame(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Exchange hash", plan)
+
+
+def test_redaction(spark):
+    rows = made_up(60) + [row(900, None), row(901, "")]
+    d = spark.createDataFrame(rows, SCHEMA).withColumn("text2", secrets.redacted(F.col("text")))
+    for r in d.select("text", "text2").collect():
+        if r.text is None:
+            assert r.text2 is None
+            continue
+        out, at = "", 0
+        for a, _, z in all_spans(r.text)[1]:
+            if a >= at:
+                out += r.text[at:a] + "[secret]"
+            at = max(at, z)
+        assert r.text2 == out + r.text[at:]
