@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recolib.llm import bpe, langid, mixing, quality, secrets
+from recolib.llm import bpe, imatch, langid, mixing, quality, secrets
 from recolib.llm.common import documents
 
 
@@ -26,6 +26,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(documents(spark, sf_dir))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -33,7 +37,8 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op3_source_mix, op4_secret_scan, op5_quality_rules, op9_bpe_round_trip)
+    f.__name__: f for f in (op1_language_id, op3_source_mix, op4_secret_scan, op5_quality_rules,
+                            op6_fingerprints, op9_bpe_round_trip)
 }
 
 SQL: dict[str, str] = {"op3_source_mix": mixing.SQL}
