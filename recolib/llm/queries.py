@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recolib.llm import bpe, imatch, langid, mixing, quality, secrets
+from recolib.llm import bpe, imatch, langid, mixing, neardup, quality, secrets
 from recolib.llm.common import documents
 
 
@@ -36,9 +36,13 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(documents(spark, sf_dir), vocab.path("byte_bpe_50k.tiktoken"), vocab.PATTERN)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op3_source_mix, op4_secret_scan, op5_quality_rules,
-                            op6_fingerprints, op9_bpe_round_trip)
+                            op6_fingerprints, op9_bpe_round_trip, op10_near_duplicates)
 }
 
 SQL: dict[str, str] = {"op3_source_mix": mixing.SQL}
