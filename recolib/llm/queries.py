@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recolib.llm import bpe, imatch, langid, mixing, neardup, quality, secrets
+from recolib.llm import bpe, hmm, imatch, langid, mixing, neardup, quality, secrets
 from recolib.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(documents(spark, sf_dir))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.lm_scores(documents(spark, sf_dir))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -41,7 +45,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op3_source_mix, op4_secret_scan, op5_quality_rules,
+    f.__name__: f for f in (op1_language_id, op2_lm_scores, op3_source_mix, op4_secret_scan, op5_quality_rules,
                             op6_fingerprints, op9_bpe_round_trip, op10_near_duplicates)
 }
 
