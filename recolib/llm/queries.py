@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recolib.llm import bpe, hmm, imatch, langid, mixing, neardup, quality, secrets, substrings
+from recolib.llm import bpe, hmm, imatch, langid, mixing, neardup, quality, secrets, substrings, tokenfile
 from recolib.llm.common import documents
 
 
@@ -38,6 +38,12 @@ def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(documents(spark, sf_dir))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocab
+
+    return tokenfile.token_file_digests(documents(spark, sf_dir), vocab.path("byte_bpe_50k.json"), vocab.PATTERN, 2)
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
@@ -50,7 +56,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_lm_scores, op3_source_mix, op4_secret_scan, op5_quality_rules,
-                            op6_fingerprints, op7_repeated_substrings, op9_bpe_round_trip, op10_near_duplicates)
+                            op6_fingerprints, op7_repeated_substrings, op8_token_files, op9_bpe_round_trip,
+                            op10_near_duplicates)
 }
 
 SQL: dict[str, str] = {"op3_source_mix": mixing.SQL}
