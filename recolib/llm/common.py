@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,5 +38,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def columns(df: DataFrame) -> dict[str, np.ndarray]:
+    """A bounded result on the driver, as one numpy array per column. It travels as Arrow batches, never as rows."""
+    table = df.toArrow()
+    return {name: table.column(name).to_numpy() for name in table.column_names}
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recolib.llm.common import id_remainder
+from recolib.llm.common import columns, id_remainder
 
 CELLS = 1 << 16
 SMOOTHING = 0.5
@@ -73,8 +73,8 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         raise ValueError(f"{len(langs)} languages x {CELLS} cells exceed {MAX_MODEL_BYTES} bytes")
     model = np.full((CELLS + 1, len(langs)), 0.0)
     at = {lang: k for k, lang in enumerate(langs)}
-    table = counts.toPandas() if langs else pd.DataFrame({"lang": [], "cell": [], "n": []})
-    model[table["cell"].to_numpy(int), table["lang"].map(at).to_numpy(int)] = table["n"]
+    table = columns(counts)
+    model[table["cell"], [at[x] for x in table["lang"]]] = table["n"]
     seen = model[:CELLS] + SMOOTHING
     model[:CELLS] = np.log(seen) - np.log(seen.sum(axis=0))
     if langs:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recolib.llm.anchors import LENGTH, anchors
-from recolib.llm.common import stored
+from recolib.llm.common import columns, stored
 from recolib.llm.suffix import suffix_orders
 
 BLOCK = 17
@@ -53,12 +53,11 @@ def repeated_anchors(texts: DataFrame) -> np.ndarray:
                 yield pd.DataFrame({"key": key, "n": n})
 
     bit = F.col("key").bitwiseAND(FILTER_BITS - 1)
-    words = (texts.mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
+    words = columns(texts.mapInPandas(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where("n > 1")
              .groupBy(F.shiftright(bit, 6).alias("at"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))).alias("word"))
-             .toPandas())
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(63).cast("int"))).alias("word")))
     table = np.zeros(FILTER_BITS // 64, np.int64)
-    table[words["at"].to_numpy(int)] = words["word"].to_numpy(np.int64)
+    table[words["at"]] = words["word"]
     return table
 
 
