@@ -17,6 +17,8 @@ ALS_RANK = 50
 ALS_MAX_ITER = 5
 ALS_REG_PARAM = 0.02
 ALS_ALPHA = 0.02
+# Factor blocks: part of the result (factors are seeded per block), so never taken from the cluster.
+ALS_BLOCKS = 10
 ALS_LIST_LEN = 50                # recommendations per user and per item
 ALS_GRID_RANKS = (50, 100)
 ALS_GRID_ALPHAS = (0.01, 0.02)
@@ -49,14 +51,14 @@ ITEM_CF_PRODUCT_RECS = "ItemCFProductRecs"
 # Typed schemas.
 # ---------------------------------------------------------------------------
 RATING_SCHEMA = T.StructType([
-    T.StructField("userId", T.IntegerType()),
-    T.StructField("productId", T.IntegerType()),
+    T.StructField("userId", T.LongType()),
+    T.StructField("productId", T.LongType()),
     T.StructField("score", T.DoubleType()),
-    T.StructField("timestamp", T.IntegerType()),
+    T.StructField("timestamp", T.LongType()),
 ])
 
 PRODUCT_SCHEMA = T.StructType([
-    T.StructField("productId", T.IntegerType()),
+    T.StructField("productId", T.LongType()),
     T.StructField("name", T.StringType()),
     T.StructField("imageUrl", T.StringType()),
     T.StructField("categories", T.StringType()),
@@ -64,36 +66,36 @@ PRODUCT_SCHEMA = T.StructType([
 ])
 
 USER_SCHEMA = T.StructType([
-    T.StructField("userId", T.IntegerType()),
+    T.StructField("userId", T.LongType()),
     T.StructField("username", T.StringType()),
 ])
 
 RATING_EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
-    T.StructField("userId", T.IntegerType()),
-    T.StructField("productId", T.IntegerType()),
+    T.StructField("userId", T.LongType()),
+    T.StructField("productId", T.LongType()),
     T.StructField("score", T.DoubleType()),
     T.StructField("timestamp", T.LongType()),
 ])
 
 REC = T.StructType([
-    T.StructField("productId", T.IntegerType()),
+    T.StructField("productId", T.LongType()),
     T.StructField("score", T.DoubleType()),
 ])
 REC_USER = T.StructType([
-    T.StructField("userId", T.IntegerType()),
+    T.StructField("userId", T.LongType()),
     T.StructField("score", T.DoubleType()),
 ])
 
 ITEM_RECS_SCHEMA = T.StructType([
-    T.StructField("productId", T.IntegerType()),
+    T.StructField("productId", T.LongType()),
     T.StructField("recs", T.ArrayType(REC)),
 ])
 USER_RECS_SCHEMA = T.StructType([
-    T.StructField("userId", T.IntegerType()),
+    T.StructField("userId", T.LongType()),
     T.StructField("recs", T.ArrayType(REC)),
 ])
 ITEM_USERS_SCHEMA = T.StructType([
-    T.StructField("productId", T.IntegerType()),
+    T.StructField("productId", T.LongType()),
     T.StructField("recs", T.ArrayType(REC_USER)),
 ])

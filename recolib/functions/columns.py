@@ -27,13 +27,18 @@ def year_month(epoch_s) -> Column:
 
 
 def tag_words(tags) -> Column:
-    """P3: 'a|b|c' -> 'a b c' (the text the tokenizer sees)."""
-    return F.array_join(F.split(_col(tags), r"\|"), " ")
+    """P3: 'a|b|c' -> 'a b c' (the text the tokenizer sees). Separators at the end
+    are dropped with the empty tags between them; inner and leading ones stay."""
+    return F.array_join(F.split(F.regexp_replace(_col(tags), r"\|+$", ""), r"\|"), " ")
 
 
 def tokenize(text) -> Column:
-    """M1: lower-case, split on single whitespace characters (empty tokens kept)."""
-    return F.split(F.lower(_col(text)), r"\s")
+    """M1: lower-case, split on single whitespace characters; empty tokens stay,
+    except at the end. A text of white space only has no token, an empty one has
+    the empty token."""
+    low = F.lower(_col(text))
+    words = F.split(F.regexp_replace(low, r"\s+$", ""), r"\s")
+    return F.when(low.rlike(r"^\s+$"), F.array().cast("array<string>")).otherwise(words)
 
 
 def contains_prefix(line, prefix: str = C.LOG_PREFIX) -> Column:
@@ -51,8 +56,8 @@ def parse_rating_message(msg, sep: str = C.MESSAGE_SEP) -> dict[str, Column]:
     parts = F.split(_col(msg), "\\" + sep)
     field = lambda i: F.trim(F.try_element_at(parts, F.lit(i)))
     return {
-        "userId": field(1).try_cast("int"),
-        "productId": field(2).try_cast("int"),
+        "userId": field(1).try_cast("bigint"),
+        "productId": field(2).try_cast("bigint"),
         "score": field(3).try_cast("double"),
         "timestamp": field(4).try_cast("bigint"),
     }
@@ -74,9 +79,14 @@ def normalise_score(raw) -> Column:
     return F.round(_col(raw) / 2.0, 2)
 
 
-def redecode(text, wrong: str = "ISO-8859-1", right: str = "UTF-8") -> Column:
-    """Undo a decode with the wrong charset."""
-    return F.decode(F.encode(_col(text), wrong), right)
+def redecode(text) -> Column:
+    """Undo a decode of UTF-8 bytes as ISO-8859-1.
+
+    Total: a character without an ISO-8859-1 byte becomes ``?`` and each malformed
+    part of the bytes becomes U+FFFD, so ordinary text passes through without an
+    error."""
+    known = F.regexp_replace(_col(text), r"[^\x00-\xFF]", "?")
+    return F.make_valid_utf8(F.encode(known, "ISO-8859-1").cast("string"))
 
 
 def misdecode(text, wrong: str = "ISO-8859-1", right: str = "UTF-8") -> Column:
@@ -85,11 +95,14 @@ def misdecode(text, wrong: str = "ISO-8859-1", right: str = "UTF-8") -> Column:
 
 
 def java_string_hash(s) -> Column:
-    """32-bit String.hashCode (h = 31*h + c, wrapping), per character code.
-
-    Exact for characters of the basic multilingual plane.
-    """
-    codes = F.transform(F.split(_col(s), ""), lambda ch: F.ascii(ch).cast("bigint"))
+    """32-bit String.hashCode (h = 31*h + c, wrapping) over UTF-16 units: a
+    character above 0xFFFF counts as its two surrogates."""
+    def units(ch: Column) -> Column:
+        c = F.ascii(ch).cast("bigint")
+        high = F.shiftright(c - 0x10000, 10) + 0xD800
+        return F.when(c > 0xFFFF, F.array(high, (c - 0x10000).bitwiseAND(0x3FF) + 0xDC00)).otherwise(F.array(c))
+
+    codes = F.flatten(F.transform(F.filter(F.split(_col(s), ""), lambda ch: ch != ""), units))
     h = F.aggregate(codes, F.lit(0).cast("bigint"),
                     lambda acc, x: F.pmod(acc * 31 + x, F.lit(4294967296)))
     return F.when(h >= 2147483648, h - 4294967296).otherwise(h).cast("int")
@@ -104,7 +117,7 @@ def parse_recent_item(item) -> dict[str, Column]:
     """P23: 'productId:score' -> (productId, score)."""
     parts = F.split(_col(item), C.RECENT_ITEM_SEP)
     return {
-        "productId": F.trim(F.try_element_at(parts, F.lit(1))).try_cast("int"),
+        "productId": F.trim(F.try_element_at(parts, F.lit(1))).try_cast("bigint"),
         "score": F.trim(F.try_element_at(parts, F.lit(2))).try_cast("double"),
     }
 

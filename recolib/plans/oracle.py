@@ -9,20 +9,20 @@ from __future__ import annotations
 # Fixture CTEs; each may use the ones before it.
 CTES: dict[str, str] = {
     "ratings": """ratings AS (
-  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS productId,
+  SELECT CAST(o_custkey AS BIGINT) AS userId, CAST(l_partkey AS BIGINT) AS productId,
          CAST(1 + floor((l_quantity - 1) / 10) AS DOUBLE) AS score,
-         CAST(floor(epoch(l_shipdate)) AS INTEGER) AS "timestamp"
+         CAST(floor(epoch(l_shipdate)) AS BIGINT) AS "timestamp"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
     "products": """products AS (
-  SELECT CAST(p_partkey AS INTEGER) AS productId, p_name AS name,
+  SELECT CAST(p_partkey AS BIGINT) AS productId, p_name AS name,
          'img/' || CAST(p_partkey AS VARCHAR) || '.jpg' AS imageUrl, p_type AS categories,
          concat_ws('|', replace(p_name, ' ', '|'), p_brand, p_type) AS tags
   FROM part)""",
     "users": """users AS (
-  SELECT CAST(c_custkey AS INTEGER) AS userId, c_name AS username FROM customer)""",
+  SELECT CAST(c_custkey AS BIGINT) AS userId, c_name AS username FROM customer)""",
     "ev": """ev AS (
-  SELECT event_id, event_type, CAST(user_id AS INTEGER) AS userId,
-         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS productId,
+  SELECT event_id, event_type, CAST(user_id AS BIGINT) AS userId,
+         TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS productId,
          CAST(least(10, 1 + floor(value / 10)) AS DOUBLE) / 2 AS score,
          CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp"
   FROM events)""",
@@ -44,7 +44,7 @@ cfrk AS (SELECT p1, p2, s, row_number() OVER (PARTITION BY p1 ORDER BY round(s,
 cftop AS (SELECT p1 AS productId, CAST(rn AS INTEGER) AS "rank", p2 AS simProductId, s AS score
           FROM cfrk WHERE rn <= 10)""",
     # content TF-IDF over the exact vocabulary
-    "tfidf": """tok AS (SELECT productId, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term
+    "tfidf": """tok AS (SELECT productId, unnest(string_split(rtrim(lower(replace(rtrim(tags, '|'), '|', ' '))), ' ')) AS term
          FROM products),
 tf AS (SELECT productId, term, count(*) AS tf FROM tok GROUP BY productId, term),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -92,7 +92,7 @@ SQL: dict[str, str] = {}
 
 SQL["ratings_projection"] = with_ctes("SELECT * FROM ratings", "ratings")
 SQL["products_projection"] = with_ctes(
-    "SELECT *, replace(tags, '|', ' ') AS tag_words FROM products", "products")
+    "SELECT *, replace(rtrim(tags, '|'), '|', ' ') AS tag_words FROM products", "products")
 SQL["product_text_parse"] = with_ctes(
     "SELECT productId, trim(name) AS name, trim(imageUrl) AS imageUrl, trim(categories) AS categories, "
     "trim(tags) AS tags FROM products", "products")
@@ -105,7 +105,9 @@ SQL["log_event_format"] = with_ctes(
 SQL["score_normalise"] = """SELECT event_id, CAST(least(10, 1 + floor(value / 10)) AS INTEGER) AS raw,
   round(CAST(least(10, 1 + floor(value / 10)) AS DOUBLE) / 2, 2) AS score FROM events"""
 SQL["charset_redecode"] = """SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars,
-  CAST(octet_length(encode(text)) AS INTEGER) AS garbled_chars, true AS restored FROM documents"""
+  CAST(octet_length(encode(text)) AS INTEGER) AS garbled_chars, md5(text) AS restored_md5,
+  md5(regexp_replace(regexp_replace(text, '[^\\x{00}-\\x{FF}]', '?', 'g'), '[\\x{80}-\\x{FF}]', chr(65533), 'g')) AS plain_md5
+  FROM documents"""
 SQL["user_id_hash"] = with_ctes(
     """SELECT userId, username, CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER) AS hashId
 FROM (SELECT userId, username,
@@ -177,7 +179,8 @@ SQL["online_candidates"] = with_ctes(
     'SELECT userId, CAST(k AS INTEGER) AS "rank", c AS productId, round(s, 6) AS sim FROM cand',
     "products", "ev", "tfidf", "sim", "online")
 SQL["online_recs"] = with_ctes(
-    "SELECT userId, productId, round(score, 6) AS score FROM onl", "products", "ev", "tfidf", "sim", "online")
+    """SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY round(score, 9) DESC, productId) AS INTEGER) AS "rank",
+  productId, round(score, 6) AS score FROM onl""", "products", "ev", "tfidf", "sim", "online")
 SQL["online_recs_asof"] = with_ctes(
     """sq AS (SELECT ev.*, row_number() OVER (PARTITION BY userId ORDER BY "timestamp", event_id) AS seq FROM ev),
 fs AS (SELECT userId, productId, min(seq) AS first_seq FROM sq GROUP BY userId, productId),
@@ -217,9 +220,9 @@ SQL["stream_recs_lookup"] = with_ctes(
 JOIN enriched e ON e.productId = q.productId""",
     "ratings", "products", "users", "ev", "avg", "enriched", "tfidf", "sim", "online")
 
-_FACTORS = """uf AS (SELECT CAST(vec_id // 2 AS INTEGER) AS userId, CAST(embedding AS DOUBLE[]) AS f
+_FACTORS = """uf AS (SELECT CAST(vec_id // 2 AS BIGINT) AS userId, CAST(embedding AS DOUBLE[]) AS f
        FROM embeddings WHERE vec_id % 2 = 0),
-itf AS (SELECT CAST((vec_id - 1) // 2 AS INTEGER) AS productId, CAST(embedding AS DOUBLE[]) AS f
+itf AS (SELECT CAST((vec_id - 1) // 2 AS BIGINT) AS productId, CAST(embedding AS DOUBLE[]) AS f
         FROM embeddings WHERE vec_id % 2 = 1),
 fsc AS (SELECT uf.userId, itf.productId, list_dot_product(uf.f, itf.f) AS s FROM uf CROSS JOIN itf),
 frk AS (SELECT userId, productId, s,
@@ -234,7 +237,7 @@ SELECT q.username, {_ENR} FROM (
 JOIN enriched e ON e.productId = q.productId""", "ratings", "products", "users", "avg", "enriched")
 
 SQL["rmse_eval"] = with_ctes(
-    """sp AS (SELECT *, ((CAST(userId AS BIGINT) * 7919 + CAST(productId AS BIGINT) * 104729) % 100) < 80 AS tr
+    """sp AS (SELECT *, ('0x' || substr(md5(userId || ':' || productId), 1, 8))::BIGINT % 10000 < 8000 AS tr
        FROM ratings),
 mn AS (SELECT productId, avg(score) AS prediction FROM sp WHERE tr GROUP BY productId)
 SELECT count(*) AS n, round(sqrt(avg((t.score - mn.prediction) * (t.score - mn.prediction))), 6) AS rmse

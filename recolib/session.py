@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith(("local[", "local-cluster[")) and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="recolib-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -60,16 +62,4 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "recolib", *parts, uuid.uuid4().hex])
 
 
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
-def apply_sql_defaults(spark: SparkSession) -> None:
-    for k, v in SQL_DEFAULTS.items():
-        if spark.conf.get(k, None) is None:
-            spark.conf.set(k, v)
-
-
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path",
-           "apply_sql_defaults", "SQL_DEFAULTS"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "SQL_DEFAULTS"]

@@ -30,17 +30,17 @@ class Fixtures:
         li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
         od = self.table("orders").select("o_orderkey", "o_custkey")
         return (li.join(od, li.l_orderkey == od.o_orderkey)
-                .select(F.col("o_custkey").cast("int").alias("userId"),
-                        F.col("l_partkey").cast("int").alias("productId"),
+                .select(F.col("o_custkey").cast("bigint").alias("userId"),
+                        F.col("l_partkey").cast("bigint").alias("productId"),
                         (F.floor((F.col("l_quantity") - 1) / 10) + 1).cast("double").alias("score"),
-                        X.epoch_seconds(F.col("l_shipdate")).cast("int").alias("timestamp")))
+                        X.epoch_seconds(F.col("l_shipdate")).cast("bigint").alias("timestamp")))
 
     # -- products: part ------------------------------------------------------
     @cached_property
     def products(self) -> DataFrame:
         p = self.table("part")
         return p.select(
-            F.col("p_partkey").cast("int").alias("productId"),
+            F.col("p_partkey").cast("bigint").alias("productId"),
             F.col("p_name").alias("name"),
             F.concat(F.lit("img/"), F.col("p_partkey").cast("string"), F.lit(".jpg")).alias("imageUrl"),
             F.col("p_type").alias("categories"),
@@ -50,7 +50,7 @@ class Fixtures:
     # -- users: customer -----------------------------------------------------
     @cached_property
     def users(self) -> DataFrame:
-        return self.table("customer").select(F.col("c_custkey").cast("int").alias("userId"),
+        return self.table("customer").select(F.col("c_custkey").cast("bigint").alias("userId"),
                                              F.col("c_name").alias("username"))
 
     # -- rating events: events -------------------------------------------------
@@ -60,8 +60,8 @@ class Fixtures:
         e = self.table("events")
         return e.select(
             "event_id", "event_type",
-            F.col("user_id").cast("int").alias("userId"),
-            F.get_json_object("props", "$.k").try_cast("int").alias("productId"),
+            F.col("user_id").cast("bigint").alias("userId"),
+            F.get_json_object("props", "$.k").try_cast("bigint").alias("productId"),
             (F.least(F.lit(10.0), F.floor(F.col("value") / 10) + 1) / 2).cast("double").alias("score"),
             X.epoch_seconds(F.col("ts")).alias("timestamp"))
 
@@ -102,10 +102,10 @@ class Fixtures:
     def user_factors(self) -> DataFrame:
         e = self.table("embeddings")
         return e.where(F.col("vec_id") % 2 == 0).select(
-            (F.col("vec_id") / 2).cast("int").alias("id"), F.col("embedding").alias("features"))
+            F.expr("vec_id div 2").alias("id"), F.col("embedding").alias("features"))
 
     @cached_property
     def item_factors(self) -> DataFrame:
         e = self.table("embeddings")
         return e.where(F.col("vec_id") % 2 == 1).select(
-            ((F.col("vec_id") - 1) / 2).cast("int").alias("id"), F.col("embedding").alias("features"))
+            F.expr("(vec_id - 1) div 2").alias("id"), F.col("embedding").alias("features"))

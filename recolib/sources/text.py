@@ -10,7 +10,7 @@ from recolib.functions import columns as X
 
 
 def parse_product_lines(lines: DataFrame, col: str = "value", keep_bad: bool = False) -> DataFrame:
-    """Split on '^', keep fields 0,1,4,5,6 trimmed, integer id.
+    """Split on '^', keep fields 0,1,4,5,6 trimmed, 64-bit id.
 
     Lines with fewer than 7 fields or a non-numeric id are dropped (or kept with
     ``_bad=true`` when ``keep_bad``). Empty trailing tags are accepted as ''.
@@ -18,7 +18,7 @@ def parse_product_lines(lines: DataFrame, col: str = "value", keep_bad: bool = F
     parts = F.split(F.col(col), r"\^")
     f = lambda i: F.try_element_at(parts, F.lit(i + 1))
     out = lines.select(
-        F.trim(f(0)).try_cast("int").alias("productId"),
+        F.trim(f(0)).try_cast("bigint").alias("productId"),
         F.trim(f(1)).alias("name"),
         F.trim(f(4)).alias("imageUrl"),
         F.trim(f(5)).alias("categories"),
@@ -34,8 +34,8 @@ def parse_rating_lines(lines: DataFrame, col: str = "value", keep_bad: bool = Fa
     """S2: 'user,product,score,ts' without header; malformed lines dropped."""
     parts = F.split(F.col(col), ",")
     f = lambda i: F.trim(F.try_element_at(parts, F.lit(i + 1)))
-    out = lines.select(f(0).try_cast("int").alias("userId"), f(1).try_cast("int").alias("productId"),
-                       f(2).try_cast("double").alias("score"), f(3).try_cast("int").alias("timestamp"))
+    out = lines.select(f(0).try_cast("bigint").alias("userId"), f(1).try_cast("bigint").alias("productId"),
+                       f(2).try_cast("double").alias("score"), f(3).try_cast("bigint").alias("timestamp"))
     bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in out.columns])
     return out.withColumn("_bad", bad) if keep_bad else out.where(~bad)
 

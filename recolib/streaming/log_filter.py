@@ -34,18 +34,21 @@ def rating_messages(lines: DataFrame) -> DataFrame:
     return text.log_filter_parse(lines)
 
 
-def start_log_filter(spark: SparkSession, source_dir: str, sink_dir: str | None, checkpoint: str,
+def start_log_filter(spark: SparkSession, source_dir: str | None, sink_dir: str | None, checkpoint: str,
                      available_now: bool = True, max_files_per_trigger: int | None = None,
                      sink_format: str = "parquet", payload_only: bool = False,
-                     sink_options: dict | None = None):
+                     sink_options: dict | None = None, source_format: str = "text",
+                     source_options: dict | None = None):
     """Run the log filter stream; returns the StreamingQuery.
 
     ``payload_only`` forwards the trimmed ``user|item|score|ts`` text as a single
     ``value`` column (the topic-to-topic form, for a ``text`` or ``kafka`` sink,
     the latter with ``sink_options`` such as ``kafka.bootstrap.servers`` and
-    ``topic``); otherwise the parsed, typed columns are written.
+    ``topic``); otherwise the parsed, typed columns are written. The source is a
+    folder of text files, or with ``source_format='kafka'`` and ``source_options``
+    a topic.
     """
-    lines = log_stream(spark, source_dir, max_files_per_trigger)
+    lines = log_stream(spark, source_dir, max_files_per_trigger, source_format, source_options)
     msgs = text.filter_log(lines) if payload_only else rating_messages(lines)
     w = msgs.writeStream.format(sink_format).option("checkpointLocation", checkpoint)
     if sink_dir:

@@ -95,3 +95,37 @@ def test_log_to_lists_end_to_end(spark, tmp_dir):
     want = online.online_recs(purchases, content.cosine_rows_for(entries, purchases.select("productId")))
     assert msgs.count() == purchases.count()
     assert {r.userId for r in got.collect()} == {r.userId for r in want.collect()}
+
+
+def test_null_item_event_gives_the_batch_result(spark, tmp_dir):
+    """The newest event's item is null: no list in the batch form, none in the stream."""
+    from recolib.operators import online
+    from recolib.streaming.online import OnlineListsJob
+    ev = spark.createDataFrame([(1, 7, 1, 5.0, 10), (2, 7, None, 4.0, 20), (3, 8, 1, 5.0, 10)],
+                               "event_id long, userId long, productId long, score double, timestamp long")
+    sim = spark.createDataFrame([(1, 99, 0.5), (99, 1, 0.5)], "productId long, simProductId long, score double")
+    want = sorted((r.userId, r.productId) for r in online.online_recs(ev, sim).collect())
+    job = OnlineListsJob(spark, sim, tmp_dir)
+    job.process_batch(ev, 0)
+    assert sorted((r.userId, r.productId) for r in job.current_lists().collect()) == want == [(8, 99)]
+    job.process_batch(ev.limit(0), 1)  # an empty batch changes nothing
+    assert sorted((r.userId, r.productId) for r in job.current_lists().collect()) == want
+
+
+def test_log_filter_reads_a_topic_with_its_options(monkeypatch):
+    from recolib.streaming import log_filter
+    seen = {}
+
+    class Done(Exception):
+        pass
+
+    def stream(spark, source_dir, max_files, source_format, options):
+        seen.update(source_format=source_format, options=options)
+        raise Done
+
+    monkeypatch.setattr(log_filter, "log_stream", stream)
+    try:
+        log_filter.start_log_filter(None, None, None, "ckpt", source_format="kafka", source_options={"subscribe": "log"})
+    except Done:
+        pass
+    assert seen == {"source_format": "kafka", "options": {"subscribe": "log"}}
