@@ -45,11 +45,11 @@ def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = N
         .withColumn("_b", F.when(F.col("_nb") > 1, F.pmod(F.xxhash64("_i"), F.col("_nb")))
                     .otherwise(F.lit(0)).cast("int"))
 
-    fan = F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))
-    left = sized.select("_g", F.col("_b").alias("_b1"), fan.alias("_b2"),
+    # bucket pairs with b1 <= b2 only: each unordered pair of items meets once
+    left = sized.select("_g", F.col("_b").alias("_b1"), F.explode(F.sequence(F.col("_b"), F.col("_nb") - 1)).alias("_b2"),
                         F.col("_i").alias("i"), F.col("_w").alias("_w1"),
                         *[F.col(c).alias(f"{c}_1") for c in carry])
-    right = sized.select("_g", fan.alias("_b1"), F.col("_b").alias("_b2"),
+    right = sized.select("_g", F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_b1"), F.col("_b").alias("_b2"),
                          F.col("_i").alias("j"), F.col("_w").alias("_w2"),
                          *[F.col(c).alias(f"{c}_2") for c in carry])
 
@@ -59,11 +59,41 @@ def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = N
     n = join_partitions(entries)
     keys3 = ["_g", "_b1", "_b2"]
     joined = (left.repartition(n, *keys3).join(right.repartition(n, *keys3), keys3)
-              .where(F.col("i") < F.col("j")))
+              .where((F.col("i") < F.col("j")) | ((F.col("_b1") < F.col("_b2")) & (F.col("i") > F.col("j")))))
+    up = F.col("i") < F.col("j")
+    swapped = [F.when(up, F.col(a)).otherwise(F.col(b)).alias(a)
+               for c in carry for a, b in ((f"{c}_1", f"{c}_2"), (f"{c}_2", f"{c}_1"))]
+    joined = joined.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), *swapped, "_w1", "_w2")
     keys = ["i", "j", *[f"{c}_1" for c in carry], *[f"{c}_2" for c in carry]]
     return joined.groupBy(*keys).agg(F.sum(F.col("_w1") * F.col("_w2")).alias(out_weight))
 
 
+def gram_rows_for(entries: DataFrame, items: DataFrame, group: str, item: str, weight: str,
+                  carry: tuple[str, ...] = (), block: int = 4 * DEFAULT_BLOCK, out_weight: str = "g") -> DataFrame:
+    """Rows of the Gram product for the given items only: (i, j, <carry>_1, <carry>_2, _in, g) for i in ``items``
+    and every other j that shares a group; ``_in`` tells whether j is in ``items`` too.
+
+    Work is linear in the items' own entries. A group of more than ``block`` entries is cut into hash buckets of its
+    large side, and the asked items' entries go to each bucket, so one hot group runs on many tasks.
+    """
+    q = items.select(F.col(item).alias("_q")).distinct()
+    base = (entries.join(q, entries[item] == q["_q"], "left")
+            .select(F.col(group).alias("_g"), F.col(item).alias("_i"), F.col(weight).alias("_w"), *carry,
+                    F.col("_q").isNotNull().alias("_in")))
+    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_d"), F.max("_in").alias("_any")).where("_any")
+    sized = base.join(sizes.select("_g", F.ceil(F.col("_d") / F.lit(block)).cast("int").alias("_nb")), "_g")
+    left = sized.where("_in").select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_b"),
+                                     F.col("_i").alias("i"), F.col("_w").alias("_w1"),
+                                     *[F.col(c).alias(f"{c}_1") for c in carry])
+    right = sized.select("_g", F.pmod(F.xxhash64("_i"), F.col("_nb")).cast("int").alias("_b"), F.col("_i").alias("j"),
+                         F.col("_w").alias("_w2"), *[F.col(c).alias(f"{c}_2") for c in carry], "_in")
+    n = join_partitions(entries)
+    joined = (left.repartition(n, "_g", "_b").join(right.repartition(n, "_g", "_b"), ["_g", "_b"])
+              .where(F.col("i") != F.col("j")))
+    keys = ["i", "j", *[f"{c}_1" for c in carry], *[f"{c}_2" for c in carry], "_in"]
+    return joined.groupBy(*keys).agg(F.sum(F.col("_w1") * F.col("_w2")).alias(out_weight))
+
+
 def join_partitions(df: DataFrame) -> int:
     """Partitions for an exploding join: the session's shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from recolib.functions import columns as X
+
 
 def latest_per_pair(events: DataFrame) -> DataFrame:
     """Per (user, item): the newest score by (timestamp, event_id) and the
@@ -13,6 +15,16 @@ def latest_per_pair(events: DataFrame) -> DataFrame:
         F.min("timestamp").alias("first_ts"))
 
 
+def ingest(raw: DataFrame) -> DataFrame:
+    """V7's incoming ratings (event_id, userId, productId, raw, ms): the UI score 1..10 normalised (P14), milliseconds
+    to seconds (P15), and the log line that goes out (S14) -> rating events plus ``line``.
+
+    The result is what the recent queue (W2) and :func:`upsert_ratings` (U1) take."""
+    out = raw.select("event_id", "userId", "productId", X.normalise_score("raw").alias("score"),
+                     X.ms_to_seconds("ms").alias("timestamp"))
+    return out.withColumn("line", X.format_rating_log("userId", "productId", "score", "timestamp"))
+
+
 def upsert_ratings(base: DataFrame, events: DataFrame) -> DataFrame:
     """U1 in bulk: a pair new to ``base`` is inserted with its first event time;
     an existing pair keeps its stored timestamp and takes the newest score.

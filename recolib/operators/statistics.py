@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from recolib.functions import columns as X
 
@@ -26,6 +26,14 @@ def rate_more_recently_products(ratings: DataFrame, ordered: bool = False) -> Da
     return out
 
 
+def rank_in_month(recent_counts: DataFrame) -> DataFrame:
+    """T1 as a column: each month's products by count desc, ties by id -> adds ``rank``.
+
+    The write order of the table (month desc, count desc) is (yearmonth desc, rank)."""
+    w = Window.partitionBy("yearmonth").orderBy(F.col("count").desc(), F.col("productId"))
+    return recent_counts.withColumn("rank", F.row_number().over(w))
+
+
 def average_products(ratings: DataFrame) -> DataFrame:
     """A3: mean score per product -> (productId, avg)."""
     return ratings.groupBy("productId").agg(F.avg("score").alias("avg"))

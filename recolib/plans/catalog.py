@@ -66,6 +66,17 @@ def _query_items(fx: Fixtures) -> DataFrame:
     return fx.rating_events.select("productId").distinct()
 
 
+def _asked_cf_top(fx: Fixtures) -> DataFrame:
+    """The top-10 lists of the products that are looked up; no pairs of others are built."""
+    top = itemcf.top_k_per_item(itemcf.item_cf_rows_for(fx.ratings, _query_items(fx)), C.ITEM_CF_LIST_LEN)
+    return top.select("productId", "rank", "simProductId", "score")
+
+
+def _averages_of(fx: Fixtures, ids: DataFrame) -> DataFrame:
+    """Mean scores of the given products only."""
+    return S.average_products(fx.ratings.join(ids.select("productId").distinct(), "productId", "left_semi"))
+
+
 def _enriched_out(df: DataFrame, *lead: str) -> DataFrame:
     return df.select(*lead, *serving.PRODUCT_COLS, r6("score").alias("score"))
 
@@ -138,6 +149,22 @@ def rate_more_recently_products(spark, sf_dir):
     return S.rate_more_recently_products(Fixtures(spark, sf_dir).ratings)
 
 
+@query
+def rate_more_recently_ranked(spark, sf_dir):
+    return S.rank_in_month(S.rate_more_recently_products(Fixtures(spark, sf_dir).ratings))
+
+
+@query
+def rating_ingest(spark, sf_dir):
+    """V7: raw UI ratings with millisecond times -> rating events and log lines."""
+    from recolib.operators.ratings import ingest
+    fx = Fixtures(spark, sf_dir)
+    raw = F.least(F.lit(10), F.floor(F.col("value") / 10) + 1).cast("int")
+    e = fx.table("events").select("event_id", raw.alias("raw"))
+    out = fx.rating_events.join(e, "event_id").withColumn("ms", F.col("timestamp") * 1000 + F.col("event_id") % 1000)
+    return ingest(out)
+
+
 @query
 def average_products(spark, sf_dir):
     a = S.average_products(Fixtures(spark, sf_dir).ratings)
@@ -155,15 +182,17 @@ def product_enriched(spark, sf_dir):
 @query
 def hot_products(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    recent = S.rate_more_recently_products(fx.ratings)
-    return _enriched_out(serving.hot_products(recent, fx.products, _averages(fx), HOT_N))
+    from recolib.operators.pairs import cut_lineage
+    recent = cut_lineage(S.hot_list(S.rate_more_recently_products(fx.ratings), HOT_N))  # HOT_N rows
+    return _enriched_out(serving.hot_products(recent, fx.products, _averages_of(fx, recent), HOT_N))
 
 
 @query
 def most_rated_products(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    counts = S.rate_more_products(fx.ratings)
-    return _enriched_out(serving.most_rated_products(counts, fx.products, _averages(fx), MOST_RATED_N))
+    from recolib.operators.pairs import cut_lineage
+    counts = cut_lineage(S.most_rated_list(S.rate_more_products(fx.ratings), MOST_RATED_N))  # MOST_RATED_N rows
+    return _enriched_out(serving.most_rated_products(counts, fx.products, _averages_of(fx, counts), MOST_RATED_N))
 
 
 @query
@@ -181,7 +210,7 @@ def product_search_regex(spark, sf_dir):
 @query
 def recs_to_products(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    recs = itemcf.item_cf_top(fx.ratings)
+    recs = _asked_cf_top(fx)
     out = serving.similar_products(recs, fx.products, _averages(fx), _query_items(fx))
     return _enriched_out(out, "queryId")
 
@@ -394,7 +423,10 @@ def stream_online_recs(spark, sf_dir):
 def content_recs_to_products(spark, sf_dir):
     """V4: for each product users act on, the products of its content list."""
     fx = Fixtures(spark, sf_dir)
-    out = serving.similar_products(_content_sim(fx), fx.products, _averages(fx), _query_items(fx))
+    from recolib.operators.pairs import cut_lineage
+    entries = cut_lineage(content.weighted_norms(content.tfidf_weights(fx.products)))
+    sim = content.cosine_rows_for(entries, _query_items(fx))
+    out = serving.similar_products(sim, fx.products, _averages(fx), _query_items(fx))
     return _enriched_out(out, "queryId")
 
 
@@ -402,6 +434,6 @@ def content_recs_to_products(spark, sf_dir):
 def recs_ranked_products(spark, sf_dir):
     """V3 with ``ordered=True``: list rank and similarity kept with the products."""
     fx = Fixtures(spark, sf_dir)
-    out = serving.similar_products(itemcf.item_cf_top(fx.ratings), fx.products, _averages(fx),
+    out = serving.similar_products(_asked_cf_top(fx), fx.products, _averages(fx),
                                    _query_items(fx), ordered=True)
     return out.select("queryId", "rank", r6("sim").alias("sim"), *serving.PRODUCT_COLS, r6("score").alias("score"))

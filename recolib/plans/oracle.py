@@ -255,3 +255,14 @@ SQL["recs_ranked_products"] = with_ctes(
     f"""SELECT t.productId AS queryId, t."rank", round(t.score, 6) AS sim, {_ENR}
 FROM cftop t JOIN enriched e ON e.productId = t.simProductId
 WHERE t.productId IN (SELECT productId FROM ev)""", "ratings", "products", "ev", "avg", "enriched", "cf")
+
+SQL["rate_more_recently_ranked"] = with_ctes(
+    """SELECT productId, "count", yearmonth, CAST(row_number() OVER (PARTITION BY yearmonth
+    ORDER BY "count" DESC, productId) AS INTEGER) AS "rank"
+FROM (SELECT productId, count(productId) AS "count", yearmonth
+      FROM (SELECT productId, strftime(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000), '%Y%m') AS yearmonth
+            FROM ratings) t GROUP BY yearmonth, productId) u""", "ratings")
+SQL["rating_ingest"] = with_ctes(
+    """SELECT event_id, userId, productId, score, "timestamp",
+  concat('PRODUCT_RATING_PREFIX:', concat_ws('|', CAST(userId AS VARCHAR), CAST(productId AS VARCHAR),
+         CAST(score AS VARCHAR), CAST("timestamp" AS VARCHAR))) AS line FROM ev""", "ev")

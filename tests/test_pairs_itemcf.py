@@ -93,3 +93,22 @@ def test_item_cf_with_hot_user_matches_brute_force(spark):
         mine = sorted((x.rank, x.simProductId) for x in top if x.productId == p)
         ranked = sorted(((-round(s, 9), q) for (a, q), s in want.items() if a == p))[:10]
         assert [q for _, q in mine] == [q for _, q in ranked]
+
+
+def test_rows_for_asked_items_equal_the_full_table(spark):
+    """The restricted product, with hot groups in buckets, equals a filter on all pairs."""
+    from pyspark.sql import functions as F
+
+    from recolib.operators import itemcf, pairs
+    rows = [(u, (u * 7 + k * k) % 40) for u in range(60) for k in range(u % 9 + 1)] + [(99, i) for i in range(40)]
+    r = spark.createDataFrame(rows, "userId long, productId long").withColumn("score", F.lit(1.0))
+    asked = spark.createDataFrame([(3,), (17,), (500,)], "productId long")
+    want = sorted(tuple(x) for x in itemcf.item_cf_pairs(r).where("productId in (3, 17)").collect())
+    assert sorted(tuple(x) for x in itemcf.item_cf_rows_for(r, asked).collect()) == want and want
+    e = r.groupBy("userId", "productId").agg(F.count("*").alias("m"))
+    cut = {b: sorted(tuple(x) for x in pairs.gram_rows_for(e, asked, "userId", "productId", "m", block=b).collect())
+           for b in (2, 1000)}
+    assert cut[2] == cut[1000]
+    both = {b: sorted(tuple(x) for x in pairs.gram_pairs(e.withColumn("n", F.col("productId") * 10), "userId", "productId",
+                                                         "m", carry=("n",), block=b).collect()) for b in (2, 1000)}
+    assert both[2] == both[1000] and all(x[0] < x[1] and (x[2], x[3]) == (10 * x[0], 10 * x[1]) for x in both[2])
