@@ -20,6 +20,7 @@ _STEP, _LIMIT, _LOW_LIMIT = 24, 1 << 13, 1 << 10
 _U = np.uint64
 _TOP, _BOTTOM = _U(1 << 48), _U(1 << 40)
 _WORD, _SIXTEEN = _U(48), _U(16)
+_SUM = {n: np.triu(np.ones((n, n), np.float32)) for n in (8, 10)}  # counts stay far below 2^24: sums are exact
 
 
 class _Lanes:
@@ -29,8 +30,8 @@ class _Lanes:
         self.row = np.arange(n)
         self.id2, self.id1 = np.zeros((n, _SLOTS), np.uint16).ravel(), np.zeros((n, _SLOTS), np.uint16).ravel()
         self.sure2, self.sure1 = np.zeros(n * _SLOTS, np.uint8), np.zeros(n * _SLOTS, np.uint8)
-        self.events = np.ones((n * 16, 10), np.int32)
-        self.parts = np.ones((n * 8, 8), np.int32)
+        self.events = np.ones((n * 16, 10), np.float32)
+        self.parts = np.ones((n * 8, 8), np.float32)
         self.last, self.last2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
         self.low, self.span = np.zeros(n, _U), np.full(n, (1 << 64) - 1, _U)
 
@@ -44,15 +45,14 @@ class _Lanes:
         base = self.row * _SLOTS
         self.slot2 = base + ((self.last2 * 40503 + self.last * 10007) >> 3 & (_SLOTS - 1))
         self.slot1 = base + (self.last * 40503 >> 4 & (_SLOTS - 1))
-        self.guess2, self.guess1 = self.id2[self.slot2], self.id1[self.slot1]
-        self.trust2, self.trust1 = self.sure2[self.slot2], self.sure1[self.slot1]
+        self.guess2, self.guess1 = self.id2.take(self.slot2), self.id1.take(self.slot1)
+        self.trust2, self.trust1 = self.sure2.take(self.slot2), self.sure1.take(self.slot1)
         self.context = self.row * 16 + self.trust2 * 4 + self.trust1
-        self.counts = self.events[self.context]
-        self.cum = np.cumsum(self.counts, axis=1)
+        self.counts, self.cum, self.total = _shares(self.events, self.context)
 
     def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
         """Update the tables with the id and event of every lane."""
-        self._count(self.events, self.context, event, self.cum[:, -1], _LIMIT)
+        self._count(self.events, self.context, event, self.total, _LIMIT)
         for table, sure, slot, guess, trust in ((self.id2, self.sure2, self.slot2, self.guess2, self.trust2),
                                                 (self.id1, self.sure1, self.slot1, self.guess1, self.trust1)):
             right = (guess == ids) & (trust > 0)
@@ -63,9 +63,11 @@ class _Lanes:
 
     @staticmethod
     def _count(table: np.ndarray, at: np.ndarray, symbol: np.ndarray, total: np.ndarray, limit: int) -> None:
-        table[at, symbol] += _STEP
-        if (full := total > limit - _STEP).any():
-            table[at[full]] = (table[at[full]] >> 1) | 1
+        flat = table.reshape(-1)
+        flat[at * table.shape[1] + symbol] += _STEP
+        full = np.flatnonzero(total > limit - _STEP)
+        if len(full):
+            table[at[full]] = np.maximum(1, np.floor(table[at[full]] * 0.5))
 
     def learn_part(self, at: np.ndarray, part: np.ndarray, total: np.ndarray) -> None:
         self._count(self.parts, at, part, total, _LOW_LIMIT)
@@ -87,10 +89,17 @@ class _Lanes:
         self.span[at] <<= _SIXTEEN
 
 
+def _shares(table: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a count table, their running sums, and their totals."""
+    counts = table.take(at, axis=0)
+    cum = counts @ _SUM[table.shape[1]]
+    return counts, cum, cum[:, -1].astype(np.int64)
+
+
 def _pick(cum: np.ndarray, counts: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    k = np.arange(len(symbol))
-    freq = counts[k, symbol]
-    return cum[k, symbol] - freq, freq
+    at = np.arange(len(symbol)) * counts.shape[1] + symbol
+    freq = counts.reshape(-1).take(at).astype(np.int64)
+    return cum.reshape(-1).take(at).astype(np.int64) - freq, freq
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -127,16 +136,15 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
         literal = ids >> (_RAW + 3)
         event = np.where((s.guess2 == ids) & (s.trust2 > 0), 9, np.where((s.guess1 == ids) & (s.trust1 > 0), 8, literal))
         cum, freq = _pick(s.cum, s.counts, event)
-        s.narrow(slice(None), s.span // s.cum[:, -1].astype(_U), cum, freq)
+        s.narrow(slice(None), s.span // s.total.astype(_U), cum, freq)
         rest = np.flatnonzero(event < 8)
         if len(rest):
             at, part = rest * 8 + event[rest], (ids[rest] >> _RAW) & 7
-            counts = s.parts[at]
-            below = np.cumsum(counts, axis=1)
+            counts, below, total = _shares(s.parts, at)
             cum, freq = _pick(below, counts, part)
-            unit = s.span[rest] // (below[:, -1].astype(_U) << _U(_RAW))
+            unit = s.span[rest] // (total.astype(_U) << _U(_RAW))
             s.narrow(rest, unit, (cum << _RAW) + (ids[rest] & ((1 << _RAW) - 1)) * freq, freq)
-            s.learn_part(at, part, below[:, -1])
+            s.learn_part(at, part, total)
         s.learn(ids, event)
         while len(at := s.settled()):
             emit(at)
@@ -172,26 +180,25 @@ def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
             s.shrink(n)
             code, at_word = code[:n], at_word[:n]
         s.look()
-        unit = s.span // s.cum[:, -1].astype(_U)
-        target = np.minimum((code - s.low) // unit, (s.cum[:, -1] - 1).astype(_U)).astype(np.int64)
-        event = (s.cum <= target[:, None]).sum(axis=1)
+        unit = s.span // s.total.astype(_U)
+        target = np.minimum((code - s.low) // unit, (s.total - 1).astype(_U)).astype(np.int64)
+        event = (s.cum <= target[:, None].astype(np.float32)).sum(axis=1)
         cum, freq = _pick(s.cum, s.counts, event)
         s.narrow(slice(None), unit, cum, freq)
         ids = np.where(event == 9, s.guess2, s.guess1).astype(np.int64)
         rest = np.flatnonzero(event < 8)
         if len(rest):
             at = rest * 8 + event[rest]
-            counts = s.parts[at]
-            below = np.cumsum(counts, axis=1)
-            unit = s.span[rest] // (below[:, -1].astype(_U) << _U(_RAW))
+            counts, below, total = _shares(s.parts, at)
+            unit = s.span[rest] // (total.astype(_U) << _U(_RAW))
             target = np.minimum((code[rest] - s.low[rest]) // unit,
-                                ((below[:, -1].astype(np.int64) << _RAW) - 1).astype(_U)).astype(np.int64)
-            part = (below <= (target >> _RAW)[:, None]).sum(axis=1)
+                                ((total << _RAW) - 1).astype(_U)).astype(np.int64)
+            part = (below <= (target >> _RAW)[:, None].astype(np.float32)).sum(axis=1)
             cum, freq = _pick(below, counts, part)
             raw = (target - (cum << _RAW)) // freq
             s.narrow(rest, unit, (cum << _RAW) + raw * freq, freq)
             ids[rest] = (event[rest] << (_RAW + 3)) | (part << _RAW) | raw
-            s.learn_part(at, part, below[:, -1])
+            s.learn_part(at, part, total)
         grid[t, :n] = ids
         s.learn(ids, event)
         while len(at := s.settled()):
