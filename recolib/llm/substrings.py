@@ -10,6 +10,8 @@ A byte goes if a string of ``LENGTH`` bytes over it starts anywhere else too. Eq
 3. In a group, strings whose anchor lies in the same ``BLOCK`` of offsets share a core of LENGTH - BLOCK + 1 bytes.
    Contexts with equal cores are laid end to end, the core as one symbol, and sorted by their suffixes (``suffix``);
    neighbours in that order that agree over a whole string are repeats. Many groups are sorted side by side.
+   An anchor with more than ``GROUP_ROWS`` contexts (a short passage in very many documents) is not gathered in a group:
+   the strings of its contexts are counted by their 128-bit hashes instead, wherever they are.
 4. Marked ranges go back to the occurrences and are merged per document, where the bytes are cut.
 """
 
@@ -32,7 +34,7 @@ BLOCK = 17
 WINDOW = BLOCK  # symbols of a string of LENGTH bytes once its core is one symbol
 FILTER_BITS = 1 << 27
 MAX_SENT = 500_000  # contexts a task remembers having sent
-GROUP_ROWS = 20_000  # contexts sorted at a time, more only to finish a group
+GROUP_ROWS = 20_000  # contexts of the largest group that is sorted; fewer than twice as many are held at a time
 SORT_SYMBOLS = 1 << 20
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -179,13 +181,43 @@ def _runs(marks: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
+def _contexts(seen: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct contexts with their times seen: those in groups of up to GROUP_ROWS, and those of larger groups (None when
+    there are none)."""
+    def distinct(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key", "c").agg(F.count("*").alias("times"), F.any_value("shift").alias("shift"),
+                                            F.any_value("context", True).alias("context"))
+
+    large = stored(seen.where("context is not null").groupBy("key").agg(F.count("*").alias("n"))
+                   .where(F.col("n") > GROUP_ROWS).select("key"), "large")
+    if large.isEmpty():
+        return distinct(seen), None
+    return distinct(seen.join(large, "key", "left_anti")), distinct(seen.join(large, "key", "left_semi"))
+
+
+def _marks_by_hash(contexts: DataFrame) -> DataFrame:
+    """(key, c, marks) of contexts in groups of any size: each string's hash is counted over all of them."""
+    def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), 1000):
+                rows = []
+                for key, c, times, data in pdf[["key", "c", "times", "context"]][at:at + 1000].itertuples(index=False):
+                    rows += [(key, c, times, i, xxhash.xxh3_128_digest(data[i:i + LENGTH]))
+                             for i in range(len(data) - LENGTH + 1)]
+                yield pd.DataFrame(rows, columns=["key", "c", "times", "at", "string"])
+
+    strings = stored(contexts.mapInPandas(hashes, "key long, c long, times long, at int, string binary"), "strings")
+    repeated = strings.groupBy("string").agg(F.sum("times").alias("n")).where("n > 1").select("string")
+    return strings.join(repeated, "string").groupBy("key", "c").agg(
+        F.flatten(F.collect_list(F.array("at", "at"))).alias("marks"))
+
+
 def repeat_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, h, ranges): for rows of ``docs`` (doc_id, h, text) with a repeat, flat pairs of the first and last start
     of strings of LENGTH bytes that occur elsewhere too."""
     table = repeated_anchors(docs.select("text"))
     seen = stored(occurrences(docs, table), "occurrences")
-    contexts = (seen.groupBy("key", "c").agg(F.count("*").alias("times"), F.any_value("shift").alias("shift"),
-                                             F.any_value("context", True).alias("context")))
+    contexts, large = _contexts(seen)
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def done(rows: list[tuple]) -> pd.DataFrame:
@@ -207,6 +239,8 @@ def repeat_ranges(docs: DataFrame) -> DataFrame:
 
     marked = (contexts.repartition("key").sortWithinPartitions("key")
               .mapInPandas(mark, "key long, c long, marks array<int>"))
+    if large is not None:
+        marked = marked.unionByName(_marks_by_hash(large))
     back = seen.select("doc_id", "h", "low", "key", "c").join(marked, ["key", "c"])
     shifted = F.transform("marks", lambda m: m + F.col("low"))
     return back.select("doc_id", "h", shifted.alias("marks")).groupBy("doc_id", "h").agg(

@@ -94,6 +94,26 @@ def test_planted_passages(spark, monkeypatch):
     assert got(substrings.without_repeats(d)) == want
 
 
+def test_common_short_passage_is_not_gathered_in_one_group(spark, monkeypatch):
+    r = random.Random(2)
+    make = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    rows = []
+    for k, n in enumerate((100, 150, 190, 199)):
+        common = make(n)
+        rows += [row(100 * k + i, make(250) + common + make(250)) for i in range(30)]
+        rows += [row(100 * k + 50 + i, make(40) + rows[-1 - i][1][200:480]) for i in range(3)]  # some strings do repeat
+    want = brute(rows)
+    assert sum(w[2] > 0 for w in want) >= 12
+    d = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    monkeypatch.setattr(substrings, "GROUP_ROWS", 10)
+    assert got(substrings.without_repeats(d)) == want
+    texts = d.selectExpr("doc_id", "xxhash64(text) as h", "text")
+    seen = substrings.occurrences(texts, substrings.repeated_anchors(texts.select("text"))).cache()
+    usual, large = substrings._contexts(seen)
+    assert max(x["count"] for x in usual.groupBy("key").count().collect()) <= 10
+    assert usual.count() + large.count() == seen.select("key", "c").distinct().count() and large.count() >= 60
+
+
 def test_edge_rows_and_empty(spark):
     assert got(substrings.without_repeats(edge_frame(spark))) == brute(edge_rows())
     assert substrings.without_repeats(empty_frame(spark)).count() == 0
