@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,3 +47,16 @@ def columns(df: DataFrame) -> dict[str, np.ndarray]:
 
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, also where a lambda in ``body`` reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def fresh_name(taken: Iterable[str], base: str) -> str:
+    """A column name that none of ``taken`` equals, whatever the case of its letters."""
+    used, name = {c.lower() for c in taken}, base
+    while name.lower() in used:
+        name += "_"
+    return name
