@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recolib.llm import bpe, hmm, imatch, langid, mixing, neardup, quality, secrets, substrings, tokenfile
+from recolib.llm import (bpe, divergence, hmm, imatch, langid, linededup, merkle, mixing, neardup, quality, secrets,
+                         substrings, tokenfile)
 from recolib.llm.common import documents
 
 
@@ -54,10 +55,23 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(documents(spark, sf_dir))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_lm_scores, op3_source_mix, op4_secret_scan, op5_quality_rules,
                             op6_fingerprints, op7_repeated_substrings, op8_token_files, op9_bpe_round_trip,
-                            op10_near_duplicates)
+                            op10_near_duplicates, op11_source_divergence, op12_merkle_manifest, op13_line_dedup)
 }
 
-SQL: dict[str, str] = {"op3_source_mix": mixing.SQL}
+SQL: dict[str, str] = {"op3_source_mix": mixing.SQL, "op11_source_divergence": divergence.SQL,
+                       "op12_merkle_manifest": merkle.SQL, "op13_line_dedup": linededup.SQL}
