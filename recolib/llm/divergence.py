@@ -16,6 +16,7 @@ All arithmetic is on integers: ``share`` divides in three steps of a thousand, w
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ SCALE = 1_000_000_000
 TOP_TERMS = 50
 BLOCK_TERMS = 2048
 BLOCK_SOURCES = 128
-FLUSH_TERMS = 300_000  # counts that a counting task holds before it passes them on
+FLUSH_TERMS = 500_000  # counts that a counting task holds before it passes them on
 
 # A-Z become a-z, every other ASCII character but a-z becomes a space; bytes of other characters stay
 _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in ASCII_LOWER)
@@ -45,35 +46,33 @@ def terms(text: str) -> list[bytes]:
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, n, docs): occurrences, and documents that hold the term."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        groups: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
         held = 0
 
-        def flush() -> pd.DataFrame:
-            rows = [(*g, t.decode(), n, d) for g, of in groups.items() for t, (n, d) in of.items()]
-            return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
-
-        for pdf in batches:
-            for text, lang, source in zip(pdf["text"], pdf["lang"], pdf["source"]):
-                of = groups.setdefault((lang, source), {})
-                found: dict[bytes, int] = {}
-                for t in terms(text):
-                    found[t] = found.get(t, 0) + 1
-                held -= len(of)
-                for t, n in found.items():
-                    old = of.get(t)
-                    if old is None:
-                        of[t] = [n, 1]
-                    else:
-                        old[0] += n
-                        old[1] += 1
-                held += len(of)
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (lang, source), (n, of_docs) in groups.items():
+                yield pa.record_batch({"lang": pa.array([lang] * len(n), pa.string()),
+                                       "source": pa.array([source] * len(n), pa.string()),
+                                       "term": pa.array(list(n), pa.binary()).cast(pa.string()),
+                                       "n": pa.array(list(n.values()), pa.int64()),
+                                       "docs": pa.array([of_docs[t] for t in n], pa.int64())})
+
+        for batch in batches:
+            for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
+                n, of_docs = groups.setdefault((lang, source), (Counter(), Counter()))
+                words = terms(text)
+                held -= len(n)
+                n.update(words)
+                of_docs.update(set(words))
+                held += len(n)
                 if held >= FLUSH_TERMS:
-                    yield flush()
-                    groups, held = {}, 0
-        yield flush()
+                    yield from flush()
+                    groups.clear()
+                    held = 0
+        yield from flush()
 
-    counted = docs.mapInPandas(count, "lang string, source string, term string, n long, docs long")
+    counted = docs.mapInArrow(count, "lang string, source string, term string, n long, docs long")
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
