@@ -48,13 +48,19 @@ def _events(fx: Fixtures) -> DataFrame:
     return cut_lineage(fx.rating_events)
 
 
-def _online_sim(fx: Fixtures, events: DataFrame) -> DataFrame:
-    """The similarity rows online scoring can reach: every row touching an item
-    of the rating events (trigger and recent items; cosine is symmetric). Equal
-    to looking the same keys up in the full content table."""
-    from recolib.operators.pairs import cut_lineage
-    entries = cut_lineage(content.weighted_norms(content.tfidf_weights(fx.products)))
-    return content.cosine_rows_for(entries, events.select("productId"))
+def _online_sim(fx: Fixtures, items: DataFrame) -> DataFrame:
+    """The similarity rows online scoring can reach: every row touching one of ``items`` (trigger and recent items;
+    cosine is symmetric). Equal to looking the same keys up in the full content table. Written once: candidates and
+    scores both read it."""
+    from recolib.session import stored
+    entries = stored(content.weighted_norms(content.tfidf_weights(fx.products)), "entries")
+    return stored(content.cosine_rows_for(entries, items), "similar")
+
+
+def _online_lists(fx: Fixtures) -> DataFrame:
+    """(userId, productId, score): the real-time lists as of each user's newest rating event."""
+    ev = _events(fx)
+    return online.online_recs(ev, _online_sim(fx, online.recent_ratings(ev).select("productId")), fx.ratings)
 
 
 def _averages(fx: Fixtures) -> DataFrame:
@@ -285,23 +291,22 @@ def recent_queue_cap(spark, sf_dir):
 def online_candidates(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     ev = _events(fx)
-    c = online.candidates(online.latest_triggers(ev), _online_sim(fx, ev), online.rated_items(ev))
+    triggers = online.latest_triggers(ev)
+    c = online.candidates(triggers, _online_sim(fx, triggers.select("productId")), online.rated_items(ev, fx.ratings))
     return c.select("userId", "rank", "productId", r6("sim").alias("sim"))
 
 
 @query
 def online_recs(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    ev = _events(fx)
-    r = online.online_recs(ev, _online_sim(fx, ev))
-    return online.rank_lists(r).select("userId", "rank", "productId", r6("score").alias("score"))
+    return online.rank_lists(_online_lists(fx)).select("userId", "rank", "productId", r6("score").alias("score"))
 
 
 @query
 def online_recs_asof(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     ev = _events(fx)
-    r = online.online_recs_asof(ev, _online_sim(fx, ev))
+    r = online.online_recs_asof(ev, _online_sim(fx, ev.select("productId")), fx.ratings)
     return r.select("event_id", "userId", "productId", r6("score").alias("score"))
 
 
@@ -316,8 +321,7 @@ def rating_upsert(spark, sf_dir):
 def stream_recs_lookup(spark, sf_dir):
     """V9: username -> real-time list -> product rows, for every user."""
     fx = Fixtures(spark, sf_dir)
-    ev = _events(fx)
-    lists = online.rank_lists(online.online_recs(ev, _online_sim(fx, ev)))
+    lists = online.rank_lists(_online_lists(fx))
     out = serving.user_list_products(lists, fx.users, fx.products, _averages(fx), fx.users)
     return _enriched_out(out, "username")
 
@@ -381,7 +385,7 @@ def als_grid_search(spark, sf_dir):
 # -- streaming twins ---------------------------------------------------------------------
 
 STREAM_FILE_ROWS = 100_000  # rows a micro-batch of the replayed streams takes at most
-STREAM_FILES = 4  # at least so many, so that small tables run in several batches too
+STREAM_FILES = 8  # at least so many, so that small tables run in several batches too
 
 
 def _stream_files(events: DataFrame) -> int:
@@ -403,17 +407,17 @@ def stream_log_filter(spark, sf_dir):
 
 @query
 def stream_online_recs(spark, sf_dir):
-    """St4: real-time lists maintained by foreachBatch over the event stream;
+    """St4: real-time lists kept up by the event stream over keyed user state;
     the final StreamRecs equals online_recs."""
     from recolib.session import scratch_path
     from recolib.streaming.online import OnlineListsJob, rating_event_stream
     fx = Fixtures(spark, sf_dir)
     base = scratch_path(spark, "stream_online_recs")
-    # static side: the tf-idf entries (linear in the catalogue), written once so
-    # no batch recomputes them; each batch derives the similarity rows it needs.
+    # static sides: the tf-idf entries (linear in the catalogue), from which batches derive the similarity rows they
+    # need, and the rating table, which seeds the state
     content.weighted_norms(content.tfidf_weights(fx.products)).write.parquet(f"{base}/entries")
     fx.rating_events.repartitionByRange(_stream_files(fx.rating_events), "timestamp", "event_id").write.parquet(f"{base}/src")
-    job = OnlineListsJob(spark, None, f"{base}/state", entries=spark.read.parquet(f"{base}/entries"))
+    job = OnlineListsJob(spark, None, f"{base}/state", fx.ratings, spark.read.parquet(f"{base}/entries"))
     q = job.start(rating_event_stream(spark, f"{base}/src", max_files_per_trigger=1), f"{base}/ckpt")
     q.awaitTermination()
     return job.current_lists().select("userId", "rank", "productId", r6("score").alias("score"))

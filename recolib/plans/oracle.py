@@ -61,7 +61,7 @@ sim AS (SELECT i AS productId, j AS simProductId, d / (na.nrm * nb.nrm) AS score
     "online": """e AS (SELECT ev.*, row_number() OVER (PARTITION BY userId ORDER BY "timestamp" DESC, event_id DESC) AS rn
       FROM ev),
 rec AS (SELECT userId, productId, score FROM e WHERE rn <= 21),
-rated AS (SELECT DISTINCT userId, productId FROM ev),
+rated AS (SELECT userId, productId FROM ev UNION SELECT userId, productId FROM ratings),
 candall AS (SELECT l.userId, sim.simProductId AS c, sim.score AS s,
                    row_number() OVER (PARTITION BY l.userId ORDER BY round(sim.score, 9) DESC, sim.simProductId) AS k
             FROM e l JOIN sim ON sim.productId = l.productId
@@ -177,10 +177,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY userId ORDER BY "timestamp" DESC
 WHERE rn <= 40""", "ev")
 SQL["online_candidates"] = with_ctes(
     'SELECT userId, CAST(k AS INTEGER) AS "rank", c AS productId, round(s, 6) AS sim FROM cand',
-    "products", "ev", "tfidf", "sim", "online")
+    "ratings", "products", "ev", "tfidf", "sim", "online")
 SQL["online_recs"] = with_ctes(
     """SELECT userId, CAST(row_number() OVER (PARTITION BY userId ORDER BY round(score, 9) DESC, productId) AS INTEGER) AS "rank",
-  productId, round(score, 6) AS score FROM onl""", "products", "ev", "tfidf", "sim", "online")
+  productId, round(score, 6) AS score FROM onl""", "ratings", "products", "ev", "tfidf", "sim", "online")
 SQL["online_recs_asof"] = with_ctes(
     """sq AS (SELECT ev.*, row_number() OVER (PARTITION BY userId ORDER BY "timestamp", event_id) AS seq FROM ev),
 fs AS (SELECT userId, productId, min(seq) AS first_seq FROM sq GROUP BY userId, productId),
@@ -188,7 +188,8 @@ ca AS (SELECT t.event_id, t.userId, sim.simProductId AS c, sim.score AS s,
               row_number() OVER (PARTITION BY t.event_id ORDER BY round(sim.score, 9) DESC, sim.simProductId) AS k
        FROM sq t JOIN sim ON sim.productId = t.productId
        LEFT JOIN fs ON fs.userId = t.userId AND fs.productId = sim.simProductId
-       WHERE fs.first_seq IS NULL OR fs.first_seq > t.seq),
+       WHERE (fs.first_seq IS NULL OR fs.first_seq > t.seq)
+         AND (t.userId, sim.simProductId) NOT IN (SELECT (userId, productId) FROM ratings)),
 cd AS (SELECT event_id, userId, c FROM ca WHERE k <= 20),
 rc AS (SELECT t.event_id, h.productId, h.score FROM sq t JOIN sq h
        ON h.userId = t.userId AND h.seq BETWEEN t.seq - 20 AND t.seq),
@@ -199,7 +200,7 @@ SELECT event_id, userId, c AS productId,
        round(avg(w) + log10(greatest(1, sum(CASE WHEN rs > 3 THEN 1 ELSE 0 END)))
                     - log10(greatest(1, sum(CASE WHEN rs <= 3 THEN 1 ELSE 0 END))), 6) AS score
 FROM pr GROUP BY event_id, userId, c""",
-    "products", "ev", "tfidf", "sim")
+    "ratings", "products", "ev", "tfidf", "sim")
 
 SQL["rating_upsert"] = with_ctes(
     """evl AS (SELECT userId, productId, score FROM (

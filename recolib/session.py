@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here assumes; applied on top of whatever the cluster sets.
 SQL_DEFAULTS = {
@@ -48,18 +51,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith(("local[", "local-cluster[")) and sc.master != "local":
+        if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="recolib-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch scope", default=None)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
     unless the session itself names a local folder)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "recolib", *parts, uuid.uuid4().hex])
+    base = _scope.get() or ensure_checkpoint_dir(spark).rstrip("/") + "/recolib"
+    return "/".join([base, *parts, uuid.uuid4().hex])
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Scratch paths made inside lie in one folder that is removed at the end (a micro-batch's intermediates)."""
+    folder = scratch_path(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: later branches scan pruned columns of the files,
+    and a lost executor costs a reread, not a recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "SQL_DEFAULTS"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "scratch_scope", "stored", "SQL_DEFAULTS"]
