@@ -1,10 +1,11 @@
 """Secret scans (operator 4), in built-in column functions only.
 
 Pattern spans: a text is split at a kind's matches, and the lengths of the pieces and matches give code point
-positions. Entropy spans: in every run of ``WINDOW`` or more token characters a window slides along; its character
-counts are updated by the entering and the leaving character, and with them the sum of n*log2(n), so Shannon entropy
-is known at each step. A run is judged against its character class's threshold; the span reaches from the first
-to the last window at or above it. Runs on the allow-list and those that touch a pattern span add nothing.
+positions. Entropy spans: pattern spans and allow-listed substrings are blanked, and nothing else is; in every run of
+``WINDOW`` or more token characters that is left a window slides along. Its character counts are updated by the
+entering and the leaving character, and with them the sum of n*log2(n), so Shannon entropy is known at each step. A
+run is judged against its character class's threshold; the span reaches from the first to the last window at or
+above it. So a key beside a pattern span or an allow-listed word in one run is still found.
 
 Everything is one expression per row: no shuffle, and a text never leaves its row.
 """
@@ -17,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recolib.llm.common import text_or_empty
+from recolib.llm.common import let, text_or_empty
 
 
 def _any_case(word: str) -> str:
@@ -36,19 +37,17 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = "[A-Za-z0-9+/_=-]{%d,}" % WINDOW
-# class of a run -> least entropy (bits) of a window; a run of letters only, or of digits only, has no class
-THRESHOLDS = (("^[0-9a-f]+$|^[0-9A-F]+$", 3.0), ("^[^A-Z]+$|^[^a-z]+$", 3.5), ("", 3.7))
-ALLOWED = (r"(?i)example|sample|dummy|placeholder|changeme|x{6}|0123456789|1234567890|abcdefgh"
-           r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[^A-Za-z]+$|^[^0-9]+$")
+# class of a run -> least entropy (bits) of a window. Letters alone are mostly joined words, whose windows repeat letters
+# more than random ones of both cases do; digits alone are never secrets (no window of 20 reaches 5 bits).
+THRESHOLDS = (("^[^A-Za-z]+$", 5.0), ("^[^0-9A-Z]+$|^[^0-9a-z]+$", 4.2), ("^[^0-9]+$", 4.0),
+              ("^[0-9a-f]+$|^[0-9A-F]+$", 3.0), ("^[^A-Z]+$|^[^a-z]+$", 3.5), ("", 3.7))
+# substrings that are no part of a secret
+ALLOWED = (r"(?i)example|sample|dummy|placeholder|changeme|x{6,}|0123456789|1234567890|abcdefgh"
+           r"|(?<![a-z0-9])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![a-z0-9])")
 
 SPAN = "array<struct<start:long,kind:int,stop:long,value:string>>"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _spans(text: Column, pattern: str, kind: int, value_group: int = 0) -> Column:
     """Spans of a pattern's matches with the value of a group. Pieces between matches give the positions."""
     found = F.regexp_extract_all(text, F.lit(pattern), 0)
@@ -103,26 +102,52 @@ def hot_windows(run: Column, threshold: Column) -> Column:
 
         moves = F.when(F.size(codes) > WINDOW, F.sequence(F.lit(1), F.size(codes) - WINDOW)).otherwise(
             F.array().cast("array<int>"))
-        done = F.aggregate(moves, _let(count_in(codes), begin), step)
-        return _let(done, lambda d: F.struct(d["first"].alias("first"), d["last"].alias("last")))
+        done = F.aggregate(moves, let(count_in(codes), begin), step)
+        return let(done, lambda d: F.struct(d["first"].alias("first"), d["last"].alias("last")))
 
     letters = F.filter(F.split(run, ""), lambda c: c != "")
-    return _let(F.transform(letters, lambda c: F.instr(F.lit(ALPHABET), c)), scan)
+    return let(F.transform(letters, lambda c: F.instr(F.lit(ALPHABET), c)), scan)
 
 
-def _entropy_spans(text: Column, base: Column) -> Column:
-    runs = F.filter(_spans(text, RUN, len(KINDS) - 1), lambda r: ~r["value"].rlike(ALLOWED) & ~F.exists(
-        base, lambda b: (b["start"] < r["stop"]) & (r["start"] < b["stop"])))
+def _rebuilt(text: Column, spans: Column, put: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``put(n, fresh)`` in place of each span's ``n`` characters that no earlier span covers; ``fresh``
+    tells whether the span starts outside of all earlier ones."""
+    def cut(spans: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            start = F.greatest(s["start"], acc["at"])
+            plain = F.substr(text, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
+            longer = F.concat(acc["out"], plain, put(s["stop"] - start, s["start"] >= acc["at"]))
+            return F.struct(F.when(s["stop"] <= acc["at"], acc["out"]).otherwise(longer).alias("out"),
+                            F.greatest(acc["at"], s["stop"]).alias("at"))
+
+        return F.aggregate(F.array_sort(spans), F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")), step,
+                           lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
+
+    return let(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(cut(s)))
+
+
+def _blanked(text: Column, spans: Column) -> Column:
+    return _rebuilt(text, spans, lambda n, fresh: F.repeat(F.lit(" "), n.cast("int")))
 
+
+def _entropy_spans(text: Column, base: Column) -> Column:
     def judged(r: Column) -> Column:
         least = F.lit(THRESHOLDS[-1][1])
         for pattern, bits in reversed(THRESHOLDS[:-1]):
             least = F.when(r["value"].rlike(pattern), F.lit(bits)).otherwise(least)
-        return _let(hot_windows(r["value"], least), lambda h: F.struct(
+        return let(hot_windows(r["value"], least), lambda h: F.struct(
             (r["start"] + h["first"]).alias("start"), r["kind"].alias("kind"),
             (r["start"] + h["last"] + WINDOW).alias("stop"), r["value"].alias("value")))
 
-    return F.filter(F.transform(runs, judged), lambda s: s["start"].isNotNull()).cast(SPAN)
+    def runs(plain: Column) -> Column:
+        return F.transform(_spans(plain, RUN, len(KINDS) - 1), judged)
+
+    def without_allowed(plain: Column) -> Column:
+        return let(_blanked(plain, _spans(plain, ALLOWED, 0)), runs)
+
+    found = let(_blanked(text, base), lambda plain: F.when(plain.rlike(RUN), without_allowed(plain)).otherwise(
+        F.array().cast(SPAN)))
+    return F.filter(found, lambda s: s["start"].isNotNull()).cast(SPAN)
 
 
 def _joined(spans: Column) -> Column:
@@ -157,16 +182,7 @@ def found_secrets(docs: DataFrame) -> DataFrame:
 def redacted(text: Column, mark: str = "[secret]") -> Column:
     """The text with every span (pattern or entropy) replaced by ``mark``; overlapping spans become one mark.
     A null text stays null."""
-    def cut(spans: Column) -> Column:
-        def step(acc: Column, s: Column) -> Column:
-            fresh = s["start"] >= acc["at"]
-            return F.struct(F.when(fresh, F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"),
-                                                                    (s["start"] - acc["at"]).cast("int")), F.lit(mark)))
-                            .otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], s["stop"]).alias("at"))
-
-        return F.aggregate(F.array_sort(spans), F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")), step,
-                           lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
-
     base, added = scan(text)
-    spans = _let(base, lambda b: F.concat(b, added(b)))
-    return F.when(text.isNull(), text).otherwise(_let(spans, lambda s: F.when(F.size(s) == 0, text).otherwise(cut(s))))
+    spans = let(base, lambda b: F.concat(b, added(b)))
+    marked = _rebuilt(text, spans, lambda n, fresh: F.when(fresh, F.lit(mark)).otherwise(F.lit("")))
+    return F.when(text.isNull(), text).otherwise(marked)
