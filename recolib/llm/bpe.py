@@ -24,7 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-MAX_PIECES = 600_000  # pieces kept per worker; a full table is emptied and refilled
+# What a worker keeps: pieces of up to MAX_KEPT_CHARS characters (a few hundred bytes each, ids included) and answers
+# about pairs (about a hundred bytes each). A full table is emptied and refilled, so both stay below some 60 MB.
+MAX_PIECES = 150_000
+MAX_PAIRS = 500_000
+MAX_KEPT_CHARS = 32
 
 
 class ByteBPE:
@@ -101,18 +105,19 @@ class ByteBPE:
 
 
 class _Pieces(dict):
-    """Piece -> its ids as little-endian bytes; emptied when ``MAX_PIECES`` are held."""
+    """Piece -> its ids as little-endian bytes; emptied when ``MAX_PIECES`` are held. Long pieces are not kept."""
 
     def __init__(self, bpe: ByteBPE) -> None:
         self.bpe = bpe
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_PIECES:
-            self.clear()
-        if len(self.bpe.compatible) > 4 * MAX_PIECES:
+        if len(self.bpe.compatible) > MAX_PAIRS:
             self.bpe.compatible.clear()
-        ids = self.bpe.encode_piece(piece.encode("utf-8"))
-        out = self[piece] = np.array(ids, "<u4").tobytes()
+        out = np.array(self.bpe.encode_piece(piece.encode("utf-8")), "<u4").tobytes()
+        if len(piece) <= MAX_KEPT_CHARS:
+            if len(self) >= MAX_PIECES:
+                self.clear()
+            self[piece] = out
         return out
 
 
@@ -140,13 +145,16 @@ def round_trip(text: Column, rank_path: str, pattern: str) -> Column:
 
 
 def encode_column(text: Column, rank_path: str, pattern: str) -> Column:
-    """The ids themselves, as ``array<int>`` (null text: empty array)."""
+    """Struct of ``ids`` (array<int>; null text: empty) and ``round_trip``, whether decoding them gives the text's bytes.
+    One function, so that a task has one Python worker and one copy of the tables."""
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = load(rank_path, pattern)
         for texts in batches:
-            yield pd.Series([bpe.encode(t or "").astype("i4") for t in texts])
+            ids = [bpe.encode(t or "") for t in texts]
+            same = [bpe.decode(i) == (t or "").encode("utf-8") for i, t in zip(ids, texts)]
+            yield pd.DataFrame({"ids": [i.astype("i4") for i in ids], "round_trip": same})
 
     return encode(text)
 

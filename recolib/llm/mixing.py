@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recolib.llm.common import WORD, stored
+from recolib.llm.common import WORD, fresh_name, stored
 
 MAX_REPEATS = 3
 SEED = "mix-1"
@@ -70,18 +70,17 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """The mix itself: every column of ``docs``, each row repeated as often as it is taken (0 drops it). Rows keep
     their columns, whatever they are called: the helper columns live in one struct that is dropped again."""
-    tmp = "_mix"
-    while tmp in docs.columns:
-        tmp += "_"
+    tmp = fresh_name(docs.columns, "mix")
+    rated = fresh_name([*docs.columns, tmp], "rate")
     own = [F.col(f"`{c}`") for c in docs.columns]
     sized = docs.withColumn(tmp, F.struct(F.col("source").cast("string").alias("source"),
                                           size_of(F.col("text")).alias("size")))
     t = source_targets(docs.groupBy(F.col("source").cast("string").alias("source"))
                        .agg(F.sum(size_of(F.col("text"))).alias("source_size")))
     rates = t.select(F.struct("source", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
-                              .otherwise(F.lit(0.0)).alias("rate")).alias(tmp + "r"))
-    j = sized.join(rates, F.expr(f"{tmp}.source <=> {tmp}r.source"))
-    n = copies(F.col(f"{tmp}r.rate"), F.col("doc_id"), seed)
+                              .otherwise(F.lit(0.0)).alias("rate")).alias(rated))
+    j = sized.join(rates, F.expr(f"{tmp}.source <=> {rated}.source"))
+    n = copies(F.col(f"{rated}.rate"), F.col("doc_id"), seed)
     return j.select(*own, F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias(tmp)).select(*own)
 
 

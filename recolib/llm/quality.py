@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recolib.llm.common import stored
+from recolib.llm.common import fresh_name, stored
 
 COMMON_SHARE = 0.004
 MIN_CHARS, MIN_WORDS = 200, 50
@@ -190,8 +190,6 @@ def quality(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
-    tmp = "_quality"
-    while tmp in docs.columns:
-        tmp += "_"
+    tmp = fresh_name(docs.columns, "quality")
     references = learn(docs.select("text", F.col("lang").cast("string").alias("lang")))
     return docs.withColumn(tmp, verdict(F.col("text"), references)).where(F.col(f"{tmp}.kept")).drop(tmp)

@@ -9,11 +9,17 @@ SCHEMA = StructType([
     StructField("size", StringType()), StructField("score", DoubleType()), StructField("language", StringType()),
     StructField("n_words", StringType()), StructField("weight", StringType()), StructField("class_id", StringType()),
     StructField("kept", StringType()), StructField("spans", StringType()), StructField("n_tokens", StringType()),
+    StructField("_Quality", StringType()), StructField("QUALITY", StringType()), StructField("_row", StringType()),
+    StructField("_ROWID", StringType()), StructField("Text_Node", StringType()), StructField("keep_id", StringType()),
+    StructField("keep_node", StringType()), StructField("_MIX", StringType()), StructField("_mixr", StringType()),
+    StructField("Mix", StringType()), StructField("rate", StringType()), StructField("e", StringType()),
+    StructField("ids", StringType()), StructField("node", StringType()), StructField("first_id", StringType()),
 ])
 
 
 def row(doc_id, text, lang="en", source="a"):
-    return (doc_id, text, lang, source, None if text is None else len(text), "x", 1.5, "y", "z", "w", "c", "k", "s", "t")
+    return (doc_id, text, lang, source, None if text is None else len(text), "x", 1.5, "y", "z", "w", "c", "k", "s", "t",
+            *"abcdefghijklmno")
 
 
 LONG = " ".join(f"word{i % 977} the of and" for i in range(20_000))

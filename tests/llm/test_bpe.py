@@ -46,7 +46,7 @@ def test_empty_table_and_columns(spark):
 
 
 def test_id_columns_round_trip(spark):
-    d = edge_frame(spark).withColumn("ids", bpe.encode_column("text", RANKS, vocab.PATTERN))
+    d = edge_frame(spark).withColumn("ids", bpe.encode_column("text", RANKS, vocab.PATTERN)["ids"])
     d = d.withColumn("bytes", bpe.decode_column("ids", RANKS, vocab.PATTERN))
     for r in d.select("text", "ids", "bytes").collect():
         assert bytes(r.bytes) == (r.text or "").encode() and (r.ids or not r.text)

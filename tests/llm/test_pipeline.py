@@ -1,4 +1,5 @@
 import base64
+import hashlib
 from collections import Counter
 
 import public_tokenizers as vocab
@@ -29,8 +30,15 @@ def after_quality(rows):
 
 
 def after_dedup(rows):
-    keep = {c for _, c in test_neardup.brute_classes(rows)}
-    return list({(r[0], r[1]): r for r in rows if r[0] in keep}.values())
+    """One row of each class, found over rows (not ids): classes of whole texts, then the least id, then the text's
+    digest, then any of the equal rows."""
+    of = dict(test_neardup.brute_classes([(i, *r[1:]) for i, r in enumerate(rows)]))
+    best = {}
+    for i, r in enumerate(rows):
+        if (r[1] or "").split():
+            rank = (r[0] is None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest())
+            best[of[i]] = min(best.get(of[i], (rank, r)), (rank, r), key=lambda x: x[0])
+    return [r for _, r in best.values()] + [r for r in rows if not (r[1] or "").split()]
 
 
 def after_redaction(rows):
@@ -87,3 +95,15 @@ def test_edge_rows_and_empty(spark):
     last = corpus_pipeline.bpe_encoding(spark, only, SF).collect()
     assert len(last) == only.count() and all(r.round_trip and r.n_tokens == 0 for r in last)
     assert mixing.mixed_documents(only).count() == 0 and edge_rows()
+
+
+def test_repeated_ids_leave_one_row_a_class(spark):
+    t = "a text of a good many words that another row repeats without any change at all in it " * 6
+    near = t + "and one word"
+    rows = [(1, t), (2, t), (2, "quite another text with words of its own " * 8), (5, t.upper()), (5, t.upper() + " END"),
+            (None, near.title()), (7, near.title()), (8, None), (8, None), (None, "  ")]
+    rows = [(i, x, "en", "a", None if x is None else len(x)) for i, x in rows]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = rows_of(corpus_pipeline.near_dedup(spark, d, SF))
+    assert sorted(got, key=str) == sorted(after_dedup(rows), key=str)
+    assert [r[0] for r in got].count(5) == 1 and sum(r[1] == t for r in got) == 1 and len(got) == 7
