@@ -19,12 +19,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one of smallest doc_id."""
+    """One row of each near-duplicate class: that of smallest doc_id, of rows sharing the id that of one text. Rows
+    without a word all stay."""
     return neardup.deduplicated(docs)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every pattern and entropy span replaced by a mark; n_chars follows the text."""
+    """Every pattern and entropy span replaced by a mark; n_chars follows the text. A null text stays null, an empty one
+    empty; repeated rows each stay."""
     clean = docs.withColumn("text", secrets.redacted(F.col("text")))
     return clean.withColumn("n_chars", F.length("text").cast("long"))
 
@@ -35,12 +37,12 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, the ids of the text, their number, and whether decoding them gives the text's bytes."""
+    """doc_id, lang, source, the ids of the text, their number, and whether decoding them gives the text's bytes. A null
+    or empty text has no ids; repeated rows each give a row."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = docs.select("doc_id", "lang", "source", "text", bpe.encode_column(F.col("text"), ranks, pattern).alias("ids"))
-    back = bpe.decode_column(F.col("ids"), ranks, pattern)
-    return encoded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                          (back == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+    encoded = docs.select("doc_id", "lang", "source", bpe.encode_column(F.col("text"), ranks, pattern).alias("e"))
+    return encoded.select("doc_id", "lang", "source", "e.ids", F.size("e.ids").cast("long").alias("n_tokens"),
+                          "e.round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
