@@ -31,15 +31,20 @@ PIECES = "part int, block long, doc_no long, doc_id long, doc_start long, n long
 
 
 class Encoder(dict):
-    """Ids of text by a tokenizer file, as little-endian u32 bytes. The split pattern's matches are independent in
-    a byte-level tokenizer, so the library is asked once per distinct match; the table is bounded."""
+    """Ids of text by a tokenizer file, as little-endian u32 bytes. Strings of the file's added tokens are cut out first,
+    as the library does. The split pattern's matches are independent in a byte-level tokenizer, so the library is asked
+    once per distinct match; the table is bounded."""
 
     def __init__(self, path: str, pattern: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern = regex.compile(pattern)
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("added tokens that take in their surroundings are not supported")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= MAX_PIECES:
@@ -49,7 +54,13 @@ class Encoder(dict):
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.pattern.findall(text or ""))), "<u4")
+        text = text or ""
+        if not self.added or not self.cut.search(text):
+            parts = map(self.__getitem__, self.pattern.findall(text))
+        else:
+            parts = (self.added[p] if k % 2 else b"".join(map(self.__getitem__, self.pattern.findall(p)))
+                     for k, p in enumerate(self.cut.split(text)))
+        return np.frombuffer(b"".join(parts), "<u4")
 
 
 @lru_cache(maxsize=2)

@@ -17,7 +17,6 @@ JSON = vocab.path("byte_bpe_50k.json")
 
 def brute(rows):
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
     out, at = [], 0
     for r in rows:
@@ -36,6 +35,12 @@ def test_documents_equal_the_library(spark):
     assert got(op8_token_files(spark, SF)) == brute(rows)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a<|endoftext|><|endoftext|> b", "<|endoftext|", "x <|endoftext|>\n"])
+def test_strings_of_added_tokens(text):
+    ids = tokenfile.Encoder(JSON, vocab.PATTERN).encode(text)
+    assert ids.tolist() == Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids
+
+
 def test_edge_rows_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(rangecoder, "BLOCK", 50)
     monkeypatch.setattr(rangecoder, "LANES", 7)
