@@ -441,3 +441,64 @@ def recs_ranked_products(spark, sf_dir):
     out = serving.similar_products(_asked_cf_top(fx), fx.products, _averages(fx),
                                    _query_items(fx), ordered=True)
     return out.select("queryId", "rank", r6("sim").alias("sim"), *serving.PRODUCT_COLS, r6("score").alias("score"))
+
+
+# -- stored results -------------------------------------------------------------------------
+# Jobs publish to a result store; lookups read its snapshot and form no pairs. Same rows as the queries above.
+
+STORE_BUCKETS = 16  # of these small stores
+
+
+def _store(fx: Fixtures):
+    from recolib.plans import jobs
+    from recolib.session import scratch_path
+    from recolib.sources.results import ResultStore
+    store = ResultStore(fx.spark, scratch_path(fx.spark, "results"), STORE_BUCKETS)
+    jobs.load(store, fx.products, fx.ratings, fx.users)
+    jobs.statistics(store)
+    return store
+
+
+@query
+def stored_hot_products(spark, sf_dir):
+    """V1 from the tables of the statistics job."""
+    from recolib.plans.jobs import Lookups
+    return _enriched_out(Lookups(_store(Fixtures(spark, sf_dir)).snapshot()).hot(HOT_N))
+
+
+@query
+def stored_product_by_id(spark, sf_dir):
+    """V5 from the tables of the statistics job."""
+    from recolib.plans.jobs import Lookups
+    fx = Fixtures(spark, sf_dir)
+    return _enriched_out(Lookups(_store(fx).snapshot()).product(_query_items(fx)))
+
+
+@query
+def stored_recs_to_products(spark, sf_dir):
+    """V3: the item-CF job stores all lists; the asked products' lists are looked up."""
+    from recolib.plans import jobs
+    fx = Fixtures(spark, sf_dir)
+    store = _store(fx)
+    jobs.item_cf(store)
+    return _enriched_out(jobs.Lookups(store.snapshot()).similar(C.ITEM_CF_PRODUCT_RECS, _query_items(fx)), "queryId")
+
+
+@query
+def stored_content_recs_to_products(spark, sf_dir):
+    """V4: the content job stores all lists; the asked products' lists are looked up."""
+    from recolib.plans import jobs
+    fx = Fixtures(spark, sf_dir)
+    store = _store(fx)
+    jobs.content_lists(store)
+    return _enriched_out(jobs.Lookups(store.snapshot()).similar(C.PRODUCT_RECS, _query_items(fx)), "queryId")
+
+
+@query
+def stored_offline_recs_lookup(spark, sf_dir):
+    """V8: the factor lists are stored; every user's list is looked up by name."""
+    from recolib.plans import jobs
+    fx = Fixtures(spark, sf_dir)
+    store = _store(fx)
+    jobs.factor_lists(store, fx.user_factors, fx.item_factors)
+    return _enriched_out(jobs.Lookups(store.snapshot()).user_list(fx.users), "username")

@@ -267,3 +267,7 @@ SQL["rating_ingest"] = with_ctes(
     """SELECT event_id, userId, productId, score, "timestamp",
   concat('PRODUCT_RATING_PREFIX:', concat_ws('|', CAST(userId AS VARCHAR), CAST(productId AS VARCHAR),
          CAST(score AS VARCHAR), CAST("timestamp" AS VARCHAR))) AS line FROM ev""", "ev")
+
+# lookups in stored results give the rows of the lookups that build them
+for _name in ("hot_products", "product_by_id", "recs_to_products", "content_recs_to_products", "offline_recs_lookup"):
+    SQL[f"stored_{_name}"] = SQL[_name]
