@@ -12,7 +12,8 @@ FAST = ["ratings_projection", "product_text_parse", "log_filter_parse", "user_id
         "most_rated_products", "product_search_regex", "item_cf_top10", "item_cf_list_sizes",
         "tfidf_weights", "content_pairs", "similarity_flatten", "recent_ratings_k", "online_candidates",
         "online_recs", "online_recs_asof", "rating_upsert", "factor_topk", "rmse_eval", "recs_to_products",
-        "content_recs_to_products", "recs_ranked_products"]
+        "content_recs_to_products", "recs_ranked_products", "stream_recs_lookup", "stored_hot_products", "stored_product_by_id",
+        "stored_recs_to_products", "stored_content_recs_to_products", "stored_offline_recs_lookup"]
 
 
 @pytest.fixture(scope="module")
@@ -40,3 +41,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["productId", "rank", "simProductId", "score"]
     assert df.count() > 0
+
+
+def test_queries_without_the_training_data_package_or_its_libraries(monkeypatch):
+    """A hidden dependency of the optional subpackage leaves the recommender's queries."""
+    import sys
+
+    import __spark_entry__ as entry
+    from recolib.plans.catalog import QUERIES
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("recolib.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    for hidden in ("corpus_pipeline", "ahocorasick"):
+        with monkeypatch.context() as m:
+            m.setitem(sys.modules, hidden, None)
+            assert set(entry.queries()) == set(QUERIES)
+            assert set(entry.oracle_sql()) < set(QUERIES)
+        for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("recolib.llm")]:
+            monkeypatch.delitem(sys.modules, name)
