@@ -46,6 +46,7 @@ PRODUCT_TO_USER = "ProductToUser"
 STREAM_RECS = "StreamRecs"
 PRODUCT_RECS = "ProductRecs"
 ITEM_CF_PRODUCT_RECS = "ItemCFProductRecs"
+PRODUCT_NAME_INDEX = "ProductNameIndex"
 
 # ---------------------------------------------------------------------------
 # Typed schemas.

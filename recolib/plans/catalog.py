@@ -446,6 +446,41 @@ def recs_ranked_products(spark, sf_dir):
 # -- stored results -------------------------------------------------------------------------
 # Jobs publish to a result store; lookups read its snapshot and form no pairs. Same rows as the queries above.
 
+def _streamed_totals(spark, sf_dir) -> DataFrame:
+    """Totals of the rating table and of its events, which come as a stream of several batches, the newest first."""
+    from recolib.session import scratch_path
+    from recolib.streaming.online import rating_event_stream
+    from recolib.streaming.statistics import StatisticsJob
+    fx = Fixtures(spark, sf_dir)
+    base = scratch_path(spark, "stream_statistics")
+    newest_first = fx.rating_events.repartitionByRange(_stream_files(fx.rating_events), F.desc("timestamp"), "event_id")
+    newest_first.write.parquet(f"{base}/src")
+    job = StatisticsJob(spark, f"{base}/statistics", fx.ratings)
+    job.start(rating_event_stream(spark, f"{base}/src", max_files_per_trigger=1), f"{base}/ckpt").awaitTermination()
+    return job.current_totals()
+
+
+@query
+def stream_rate_more_products(spark, sf_dir):
+    """A1 of ratings and events, kept up by the stream."""
+    from recolib.streaming.statistics import rate_more_products
+    return rate_more_products(_streamed_totals(spark, sf_dir))
+
+
+@query
+def stream_rate_more_recently_products(spark, sf_dir):
+    """A2 of ratings and events, kept up by the stream."""
+    from recolib.streaming.statistics import rate_more_recently_products
+    return rate_more_recently_products(_streamed_totals(spark, sf_dir))
+
+
+@query
+def stream_average_products(spark, sf_dir):
+    """A3 of ratings and events, kept up by the stream."""
+    from recolib.streaming.statistics import average_products
+    return average_products(_streamed_totals(spark, sf_dir)).select("productId", r6("avg").alias("avg"))
+
+
 STORE_BUCKETS = 16  # of these small stores
 
 
@@ -474,6 +509,15 @@ def stored_product_by_id(spark, sf_dir):
     return _enriched_out(Lookups(_store(fx).snapshot()).product(_query_items(fx)))
 
 
+@query
+def stored_product_search_regex(spark, sf_dir):
+    """V6 by the stored index of name windows."""
+    from recolib.plans import jobs
+    store = _store(Fixtures(spark, sf_dir))
+    jobs.name_index(store)
+    return _enriched_out(jobs.Lookups(store.snapshot()).search(SEARCH_PATTERN))
+
+
 @query
 def stored_recs_to_products(spark, sf_dir):
     """V3: the item-CF job stores all lists; the asked products' lists are looked up."""

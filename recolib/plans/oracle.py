@@ -269,5 +269,19 @@ SQL["rating_ingest"] = with_ctes(
          CAST(score AS VARCHAR), CAST("timestamp" AS VARCHAR))) AS line FROM ev""", "ev")
 
 # lookups in stored results give the rows of the lookups that build them
-for _name in ("hot_products", "product_by_id", "recs_to_products", "content_recs_to_products", "offline_recs_lookup"):
+for _name in ("hot_products", "product_by_id", "product_search_regex", "recs_to_products", "content_recs_to_products",
+              "offline_recs_lookup"):
     SQL[f"stored_{_name}"] = SQL[_name]
+
+# statistics kept up by the stream: those of ratings and events together
+_RATED = """rated AS (SELECT productId, score, "timestamp" FROM ratings
+  UNION ALL SELECT productId, score, "timestamp" FROM ev WHERE productId IS NOT NULL)
+"""
+SQL["stream_rate_more_products"] = with_ctes(
+    _RATED + 'SELECT productId, count(*) AS "count" FROM rated GROUP BY productId', "ratings", "ev")
+SQL["stream_rate_more_recently_products"] = with_ctes(
+    _RATED + """SELECT productId, count(*) AS "count", yearmonth
+FROM (SELECT productId, strftime(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000), '%Y%m') AS yearmonth
+      FROM rated) t GROUP BY yearmonth, productId""", "ratings", "ev")
+SQL["stream_average_products"] = with_ctes(
+    _RATED + "SELECT productId, round(avg(score), 6) AS avg FROM rated GROUP BY productId", "ratings", "ev")
