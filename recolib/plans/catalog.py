@@ -481,6 +481,22 @@ def stream_average_products(spark, sf_dir):
     return average_products(_streamed_totals(spark, sf_dir)).select("productId", r6("avg").alias("avg"))
 
 
+@query
+def stored_rating_upsert(spark, sf_dir):
+    """U1 on the stored table: the events come in batches in time order, each rewrites its users' buckets."""
+    from recolib.session import scratch_path
+    from recolib.sources.rating_table import RatingTable
+    fx = Fixtures(spark, sf_dir)
+    table = RatingTable(spark, scratch_path(spark, "rating_table"), STORE_BUCKETS)
+    table.create(fx.ratings)
+    events = _events(fx)
+    cuts = events.approxQuantile("timestamp", [0.25, 0.5, 0.75], 0.01)
+    for n, (low, high) in enumerate(zip([None, *cuts], [*cuts, None], strict=True)):
+        part = events if low is None else events.where(F.col("timestamp") >= low)
+        table.apply(part if high is None else part.where(F.col("timestamp") < high), n)
+    return table.read()
+
+
 STORE_BUCKETS = 16  # of these small stores
 
 

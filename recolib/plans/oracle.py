@@ -269,7 +269,7 @@ SQL["rating_ingest"] = with_ctes(
          CAST(score AS VARCHAR), CAST("timestamp" AS VARCHAR))) AS line FROM ev""", "ev")
 
 # lookups in stored results give the rows of the lookups that build them
-for _name in ("hot_products", "product_by_id", "product_search_regex", "recs_to_products", "content_recs_to_products",
+for _name in ("hot_products", "product_by_id", "product_search_regex", "rating_upsert", "recs_to_products", "content_recs_to_products",
               "offline_recs_lookup"):
     SQL[f"stored_{_name}"] = SQL[_name]
 
