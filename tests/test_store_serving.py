@@ -50,3 +50,13 @@ def test_similar_products_ordered_keeps_rank(spark):
     assert ranks == list(range(1, len(ranks) + 1))
     plain = serving.similar_products(recs, fx.products, S.average_products(fx.ratings), q)
     assert plain.count() == len(ranks)
+
+
+def test_registered_views_are_the_tables(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    store.register_views(spark, {"s16_ratings": fx.ratings, "s16_products": fx.products})
+    got = spark.sql("SELECT p.productId, count(*) AS n FROM s16_ratings r JOIN s16_products p USING (productId) GROUP BY 1")
+    want = fx.ratings.join(fx.products.select("productId"), "productId").groupBy("productId").agg(F.count("*").alias("n"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    store.register_views(spark, {"s16_ratings": fx.ratings.limit(0)})  # a view of the name is replaced
+    assert spark.table("s16_ratings").count() == 0
