@@ -16,56 +16,66 @@ group followed by a pair aggregate. Two things keep it distributed:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 DEFAULT_BLOCK = 512
+PAIRS_A_TASK = 1 << 23  # pairs that one task of a group join forms, about
 
 
-def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = None,
-               carry: tuple[str, ...] = (), block: int = DEFAULT_BLOCK,
-               out_weight: str = "g") -> DataFrame:
-    """Upper-triangle Gram product of a sparse (group x item) matrix.
-
-    ``entries`` must hold one row per (group, item); ``weight`` defaults to 1.
-    ``carry`` names per-item columns (e.g. a norm or a count) that are carried
-    through as ``<col>_1`` / ``<col>_2`` and become part of the pair key, so no
-    join against the (much larger) pair table is needed later.
+def meeting_pairs(base: DataFrame, group: str, item: str, carry: tuple[str, ...] = (),
+                  block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Every pair of different items of a group, once per group: (group, i, j, <carry>_1, <carry>_2) with i < j.
 
-    Returns (i, j, <carry>_1, <carry>_2, g) with i < j.
+    ``base`` holds one row per (group, item); ``carry`` names columns of it that come along.
     """
-    w = F.col(weight) if weight else F.lit(1)
-    base = entries.select(F.col(group).alias("_g"), F.col(item).alias("_i"),
-                          w.alias("_w"), *[F.col(c) for c in carry])
+    rows = base.select(F.col(group).alias("_g"), F.col(item).alias("_i"), *[F.col(c) for c in carry])
 
     # Items per group -> bucket count. The size table is a (partial) aggregate,
     # joined back on the group; AQE splits a skewed group on the probe side.
-    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_d"))
+    sizes = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_d"))
     nb = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(block))).cast("int")
-    sized = base.join(sizes, "_g").withColumn("_nb", nb) \
+    sized = rows.join(sizes, "_g").withColumn("_nb", nb) \
         .withColumn("_b", F.when(F.col("_nb") > 1, F.pmod(F.xxhash64("_i"), F.col("_nb")))
                     .otherwise(F.lit(0)).cast("int"))
 
     # bucket pairs with b1 <= b2 only: each unordered pair of items meets once
     left = sized.select("_g", F.col("_b").alias("_b1"), F.explode(F.sequence(F.col("_b"), F.col("_nb") - 1)).alias("_b2"),
-                        F.col("_i").alias("i"), F.col("_w").alias("_w1"),
-                        *[F.col(c).alias(f"{c}_1") for c in carry])
+                        F.col("_i").alias("i"), *[F.col(c).alias(f"{c}_1") for c in carry])
     right = sized.select("_g", F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_b1"), F.col("_b").alias("_b2"),
-                         F.col("_i").alias("j"), F.col("_w").alias("_w2"),
-                         *[F.col(c).alias(f"{c}_2") for c in carry])
+                         F.col("_i").alias("j"), *[F.col(c).alias(f"{c}_2") for c in carry])
 
     # The join multiplies rows (about d^2/2 per group), so its input size says
-    # nothing about its output: pin the partition count instead of letting AQE
-    # coalesce a small input into a few tasks that then emit most of the pairs.
-    n = join_partitions(entries)
+    # nothing about its output: the partition count follows the pairs instead of
+    # letting AQE coalesce a small input into a few tasks that then emit most of them.
+    n = join_partitions(sizes, F.col("_d") * F.col("_d") / 2)
     keys3 = ["_g", "_b1", "_b2"]
     joined = (left.repartition(n, *keys3).join(right.repartition(n, *keys3), keys3)
               .where((F.col("i") < F.col("j")) | ((F.col("_b1") < F.col("_b2")) & (F.col("i") > F.col("j")))))
     up = F.col("i") < F.col("j")
     swapped = [F.when(up, F.col(a)).otherwise(F.col(b)).alias(a)
                for c in carry for a, b in ((f"{c}_1", f"{c}_2"), (f"{c}_2", f"{c}_1"))]
-    joined = joined.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), *swapped, "_w1", "_w2")
+    return joined.select(F.col("_g").alias(group), F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), *swapped)
+
+
+def gram_pairs(entries: DataFrame, group: str, item: str, weight: str | None = None,
+               carry: tuple[str, ...] = (), block: int = DEFAULT_BLOCK,
+               out_weight: str = "g") -> DataFrame:
+    """Upper-triangle Gram product of a sparse (group x item) matrix.
+
+    ``entries`` must hold one row per (group, item); ``weight`` defaults to 1.
+    ``carry`` names per-item columns (e.g. a norm or a count) that are carried
+    through as ``<col>_1`` / ``<col>_2`` and become part of the pair key, so no
+    join against the (much larger) pair table is needed later.
+
+    Returns (i, j, <carry>_1, <carry>_2, g) with i < j.
+    """
+    w = F.col(weight) if weight else F.lit(1)
+    base = entries.select(F.col(group).alias("_group"), F.col(item).alias("_item"), w.alias("_w"), *[F.col(c) for c in carry])
+    joined = meeting_pairs(base, "_group", "_item", ("_w", *carry), block)
     keys = ["i", "j", *[f"{c}_1" for c in carry], *[f"{c}_2" for c in carry]]
-    return joined.groupBy(*keys).agg(F.sum(F.col("_w1") * F.col("_w2")).alias(out_weight))
+    return joined.groupBy(*keys).agg(F.sum(F.col("_w_1") * F.col("_w_2")).alias(out_weight))
 
 
 def gram_rows_for(entries: DataFrame, items: DataFrame, group: str, item: str, weight: str,
@@ -73,30 +83,38 @@ def gram_rows_for(entries: DataFrame, items: DataFrame, group: str, item: str, w
     """Rows of the Gram product for the given items only: (i, j, <carry>_1, <carry>_2, _in, g) for i in ``items``
     and every other j that shares a group; ``_in`` tells whether j is in ``items`` too.
 
-    Work is linear in the items' own entries. A group of more than ``block`` entries is cut into hash buckets of its
-    large side, and the asked items' entries go to each bucket, so one hot group runs on many tasks.
+    Work is linear in the items' own entries. A group of more than ``block`` entries, or of more than ``block`` asked
+    ones, is cut into hash buckets on that side, and every bucket of one side meets every bucket of the other, so one
+    hot group runs on many tasks whether few or all items are asked for.
     """
     q = items.select(F.col(item).alias("_q")).distinct()
     base = (entries.join(q, entries[item] == q["_q"], "left")
             .select(F.col(group).alias("_g"), F.col(item).alias("_i"), F.col(weight).alias("_w"), *carry,
                     F.col("_q").isNotNull().alias("_in")))
-    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_d"), F.max("_in").alias("_any")).where("_any")
-    sized = base.join(sizes.select("_g", F.ceil(F.col("_d") / F.lit(block)).cast("int").alias("_nb")), "_g")
-    left = sized.where("_in").select("_g", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_b"),
+    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_d"), F.count_if("_in").alias("_a")).where("_a > 0")
+    buckets = [F.ceil(F.col(c) / F.lit(block)).cast("int").alias(n) for c, n in (("_d", "_nb"), ("_a", "_na"))]
+    sized = base.join(sizes.select("_g", *buckets), "_g")
+    own, asked = (F.pmod(F.xxhash64("_i"), F.col(n)).cast("int") for n in ("_nb", "_na"))
+    left = sized.where("_in").select("_g", asked.alias("_c"), F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)).alias("_b"),
                                      F.col("_i").alias("i"), F.col("_w").alias("_w1"),
                                      *[F.col(c).alias(f"{c}_1") for c in carry])
-    right = sized.select("_g", F.pmod(F.xxhash64("_i"), F.col("_nb")).cast("int").alias("_b"), F.col("_i").alias("j"),
-                         F.col("_w").alias("_w2"), *[F.col(c).alias(f"{c}_2") for c in carry], "_in")
-    n = join_partitions(entries)
-    joined = (left.repartition(n, "_g", "_b").join(right.repartition(n, "_g", "_b"), ["_g", "_b"])
+    right = sized.select("_g", F.explode(F.sequence(F.lit(0), F.col("_na") - 1)).alias("_c"), own.alias("_b"),
+                         F.col("_i").alias("j"), F.col("_w").alias("_w2"),
+                         *[F.col(c).alias(f"{c}_2") for c in carry], "_in")
+    n = join_partitions(sizes, F.col("_a") * F.col("_d"))
+    keys3 = ["_g", "_c", "_b"]
+    joined = (left.repartition(n, *keys3).join(right.repartition(n, *keys3), keys3)
               .where(F.col("i") != F.col("j")))
     keys = ["i", "j", *[f"{c}_1" for c in carry], *[f"{c}_2" for c in carry], "_in"]
     return joined.groupBy(*keys).agg(F.sum(F.col("_w1") * F.col("_w2")).alias(out_weight))
 
 
-def join_partitions(df: DataFrame) -> int:
-    """Partitions for an exploding join: the session's shuffle partitions."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def join_partitions(sizes: DataFrame, pairs: F.Column) -> int:
+    """Partitions of an exploding join: one per ``PAIRS_A_TASK`` of the pairs that the groups of ``sizes`` form, at
+    least the session's shuffle partitions. Costs one aggregate over the groups."""
+    least = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    total = sizes.agg(F.sum(pairs.cast("double"))).first()[0] or 0.0
+    return max(least, math.ceil(total / PAIRS_A_TASK))
 
 
 def mirror(pairs: DataFrame, a: str, b: str, suffixed: tuple[str, ...] = ()) -> DataFrame:

@@ -106,3 +106,31 @@ def test_native_hashed_weights_equal_ml_pipeline(spark):
     assert set(got) == set(want)
     for k in want:
         assert got[k] == pytest.approx(want[k], rel=1e-12)
+
+
+@pytest.mark.parametrize("threshold", [0.0, 0.4, 0.8])
+def test_indexed_terms_lose_no_pair_and_form_fewer(spark, threshold):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from recolib.operators.pairs import meeting_pairs
+    rnd = random.Random(5)
+    # one term in nearly all products, some in many, most in few; weights favour the rare ones
+    rows = [(i, f"p{i}", "", "", "|".join({"all", *(f"m{rnd.randrange(4)}" for _ in range(2)),
+                                           *(f"r{rnd.randrange(60)}" for _ in range(3))} - ({"all"} if i % 50 == 0 else set())))
+            for i in range(150)]
+    entries = content.weighted_norms(content.tfidf_weights(products_df(spark, rows))).where("norm > 0")
+    got = {(r.productId, r.simProductId): r.score for r in content.cosine_pairs(entries, threshold, collapse=False, block=16).collect()}
+    want = brute_cosine(rows, threshold)
+    assert set(got) == set(want) and want
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    index = content.indexed_vectors(entries, "productId", "term", threshold).cache()
+    formed = meeting_pairs(index, "term", "productId").count()
+    all_pairs = meeting_pairs(entries, "term", "productId").count()
+    assert formed <= all_pairs
+    if threshold >= 0.4:                                          # the term that most products have forms no pair
+        assert formed * 5 < all_pairs
+    # a vector's terms without an index weigh less than the threshold
+    for r in index.groupBy("productId").agg(F.first("weights").alias("w"), F.collect_list("term").alias("t")).collect():
+        assert sum(w * w for t, w in r.w.items() if t not in r.t) <= threshold ** 2
