@@ -382,6 +382,33 @@ def als_grid_search(spark, sf_dir):
     return als.grid_search(Fixtures(spark, sf_dir).ratings)
 
 
+@query
+def als_user_lists_check(spark, sf_dir):
+    """T8 + M4 + P20: every user's list by Spark ML beside the exact search over the model's factors."""
+    from recolib.operators import als
+    model = als.fit_als(Fixtures(spark, sf_dir).ratings)
+    return als.compare_lists(als.user_recs(model), als.factor_topk(model.userFactors, model.itemFactors), "userId")
+
+
+@query
+def als_item_lists_check(spark, sf_dir):
+    """T9 + M4 + P20: every product's list of users likewise."""
+    from recolib.operators import als
+    model = als.fit_als(Fixtures(spark, sf_dir).ratings)
+    exact = als.factor_topk(model.itemFactors, model.userFactors).select(F.col("userId").alias("productId"), "rank", "score")
+    return als.compare_lists(als.item_recs(model), exact, "productId")
+
+
+@query
+def als_predictions(spark, sf_dir):
+    """M5 + M6 + M7: the held-out pairs that a model of the training part predicts, with their number of ratings."""
+    from recolib.operators import als
+    train, test = als.train_test(Fixtures(spark, sf_dir).ratings)
+    p = als.fit_als(train).transform(test)
+    return p.groupBy("userId", "productId").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"))
+
+
 # -- streaming twins ---------------------------------------------------------------------
 
 STREAM_FILE_ROWS = 100_000  # rows a micro-batch of the replayed streams takes at most

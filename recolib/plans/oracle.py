@@ -167,6 +167,36 @@ FROM sim"""
 SQL["content_recs"] = with_ctes(_CONTENT_RANKED, "products", "tfidf", "sim")
 SQL["similarity_flatten"] = SQL["content_recs"]
 
+# the hashed form: a term's bucket is Murmur3 (x86, 32 bits, seed 42) of its UTF-8 bytes modulo 800. Words of four
+# bytes, little-endian, are mixed and folded one by one; the last 0 to 3 bytes are one more word.
+SQL["hashed_tfidf"] = with_ctes(
+    """term AS (SELECT DISTINCT term, hex(encode(term)) AS h, octet_length(encode(term)) AS n FROM tok),
+word AS (SELECT term, n, i, CAST('0x0' || string_agg(substr(h, 8 * i + 2 * b + 1, 2), '' ORDER BY b DESC) AS UBIGINT) AS k
+         FROM (SELECT *, unnest(range(n // 4 + 1)) AS i FROM term), range(4) t(b) GROUP BY term, n, i),
+turned AS (SELECT term, i, (((k * 3432918353 & 4294967295) << 15) | ((k * 3432918353 & 4294967295) >> 17)) & 4294967295 AS k
+           FROM word),
+mixed AS (SELECT term, i, k * 461845907 & 4294967295 AS k FROM turned),
+folded AS (SELECT term, n, 0::BIGINT AS i, 42::UBIGINT AS s FROM term
+           UNION ALL
+           SELECT f.term, f.n, f.i + 1,
+                  (((xor(f.s, m.k) << 13) | (xor(f.s, m.k) >> 19)) & 4294967295) * 5 + 3864292196 & 4294967295
+           FROM folded f JOIN mixed m ON m.term = f.term AND m.i = f.i WHERE f.i < f.n // 4),
+whole AS (SELECT f.term, xor(xor(f.s, m.k), f.n::UBIGINT) AS s
+          FROM folded f JOIN mixed m ON m.term = f.term AND m.i = f.i WHERE f.i = f.n // 4),
+end1 AS (SELECT term, xor(s, s >> 16) * 2246822507 & 4294967295 AS s FROM whole),
+end2 AS (SELECT term, xor(s, s >> 13) * 3266489909 & 4294967295 AS s FROM end1),
+end3 AS (SELECT term, xor(s, s >> 16)::BIGINT AS s FROM end2),
+bucket AS (SELECT term, (((CASE WHEN s >= 2147483648 THEN s - 4294967296 ELSE s END) % 800) + 800) % 800 AS bucket FROM end3),
+htf AS (SELECT productId, bucket, count(*) AS tf FROM tok JOIN bucket USING (term) GROUP BY productId, bucket),
+hdf AS (SELECT bucket, count(*) AS df FROM htf GROUP BY bucket),
+hv AS (SELECT productId, bucket, tf * ln((m.m + 1.0) / (df + 1.0)) AS weight FROM htf JOIN hdf USING (bucket) CROSS JOIN m),
+hn AS (SELECT productId, sqrt(sum(weight * weight)) AS norm FROM hv GROUP BY productId),
+hd AS (SELECT a.productId, b.productId AS simProductId, sum(a.weight * b.weight) AS dot FROM hv a
+       JOIN hv b ON a.bucket = b.bucket AND a.productId <> b.productId GROUP BY a.productId, b.productId)
+SELECT hd.productId, simProductId, round(dot / (a.norm * b.norm), 6) AS score FROM hd
+JOIN hn a ON a.productId = hd.productId JOIN hn b ON b.productId = simProductId
+WHERE a.norm > 0 AND b.norm > 0 AND dot / (a.norm * b.norm) > 0.4""", "products", "tfidf").replace("WITH ", "WITH RECURSIVE ", 1)
+
 SQL["recent_ratings_k"] = with_ctes(
     """SELECT userId, CAST(rn AS INTEGER) AS "rank", productId, score FROM (
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY "timestamp" DESC, event_id DESC) AS rn FROM ev) t
@@ -244,6 +274,18 @@ mn AS (SELECT productId, avg(score) AS prediction FROM sp WHERE tr GROUP BY prod
 SELECT count(*) AS n, round(sqrt(avg((t.score - mn.prediction) * (t.score - mn.prediction))), 6) AS rmse
 FROM sp t JOIN mn ON mn.productId = t.productId WHERE NOT t.tr""", "ratings")
 
+# a fitted model's lists: one for every rated user and product, full, equal to the exact search over its factors
+for _name, _key, _other in (("als_user_lists_check", "userId", "productId"), ("als_item_lists_check", "productId", "userId")):
+    SQL[_name] = with_ctes(
+        f"""SELECT {_key}, least(50, (SELECT count(DISTINCT {_other}) FROM ratings)) AS list_size, TRUE AS same_scores,
+  TRUE AS descending FROM ratings GROUP BY {_key}""", "ratings")
+# held-out ratings of users and products that the training part has get a prediction, the others are dropped
+SQL["als_predictions"] = with_ctes(
+    """sp AS (SELECT *, ('0x' || substr(md5(userId || ':' || productId), 1, 8))::BIGINT % 10000 < 8000 AS tr FROM ratings)
+SELECT t.userId, t.productId, count(*) AS n, TRUE AS predicted FROM sp t
+WHERE NOT t.tr AND t.userId IN (SELECT userId FROM sp WHERE tr) AND t.productId IN (SELECT productId FROM sp WHERE tr)
+GROUP BY t.userId, t.productId""", "ratings")
+
 SQL["stream_log_filter"] = SQL["log_filter_parse"]
 SQL["stream_online_recs"] = SQL["online_recs"]
 

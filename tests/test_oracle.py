@@ -13,7 +13,8 @@ FAST = ["ratings_projection", "product_text_parse", "log_filter_parse", "user_id
         "tfidf_weights", "content_pairs", "similarity_flatten", "recent_ratings_k", "online_candidates",
         "online_recs", "online_recs_asof", "rating_upsert", "factor_topk", "rmse_eval", "recs_to_products",
         "content_recs_to_products", "recs_ranked_products", "stream_recs_lookup", "stored_hot_products", "stored_product_by_id",
-        "stored_recs_to_products", "stored_content_recs_to_products", "stored_offline_recs_lookup"]
+        "stored_recs_to_products", "stored_content_recs_to_products", "stored_offline_recs_lookup",
+        "hashed_tfidf", "als_user_lists_check", "als_item_lists_check", "als_predictions"]
 
 
 @pytest.fixture(scope="module")
