@@ -112,3 +112,19 @@ def test_rows_for_asked_items_equal_the_full_table(spark):
     both = {b: sorted(tuple(x) for x in pairs.gram_pairs(e.withColumn("n", F.col("productId") * 10), "userId", "productId",
                                                          "m", carry=("n",), block=b).collect()) for b in (2, 1000)}
     assert both[2] == both[1000] and all(x[0] < x[1] and (x[2], x[3]) == (10 * x[0], 10 * x[1]) for x in both[2])
+
+
+def test_sums_of_pairs_need_no_shuffle_of_pairs_and_hot_items_are_cut(spark):
+    rnd = random.Random(3)
+    rows = {(g, i): rnd.randint(1, 3) for g in range(30) for i in [0, *rnd.sample(range(1, 40), 6)]}  # all groups have item 0
+    data = [(g, i, w) for (g, i), w in rows.items()]
+    df = spark.createDataFrame(data, "g int, i int, w int")
+    upper = brute_gram(data)
+    want = {**upper, **{(j, i): s for (i, j), s in upper.items()}}
+    for item_pairs in (10, 1 << 20):
+        out = gram_pairs(df, "g", "i", "w", block=3, out_weight="s", half=False, item_pairs=item_pairs)
+        assert {(r.i, r.j): r.s for r in out.collect()} == want
+        # between the sums and the rows dealt by item no exchange is planned
+        executed = out._jdf.queryExecution().executedPlan().toString()
+        first = executed.index("Exchange")
+        assert executed[:first].count("HashAggregate") == 2 and "REPARTITION_BY_NUM" in executed[first:first + 200]
