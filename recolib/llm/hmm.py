@@ -8,8 +8,8 @@ class's mass each known word gives up ``DISCOUNT`` counts to words never seen. S
 tables have sizes fixed by these parameters and are sent to every task.
 
 Training: Baum-Welch. Each pass runs the scaled forward and backward recursions over all training documents, many
-documents side by side in numpy, and adds expected counts up with a grouped sum. The first parameters come from
-the same recursions over ``INIT_DOCS`` documents; every further pass covers all training documents.
+documents side by side in numpy, and adds expected counts up with a grouped sum. The first parameters are a seeded guess
+around the words' shares; every pass covers all training documents, whose symbols are looked up and written once.
 
 Scoring: the scaled forward recursion gives the exact likelihood of a document's symbols. Counts of the words with at
 least 1 / ``TABLE_WORDS`` of all tokens are sent to the tasks; the rest, rare by construction, are joined by word.
@@ -34,8 +34,7 @@ SYMBOL_WORDS = 1 << 15
 TABLE_WORDS = 1 << 19
 CLASSES = 1 << 11
 DISCOUNT = 0.5
-PASSES = 2  # over all training documents
-INIT_DOCS, INIT_CHARS, INIT_PASSES, INIT_TRIES = 400, (200, 20_000), 15, 3
+PASSES = 6  # over all training documents
 SEGMENT = 512  # training splits longer documents into pieces of so many tokens; scoring does not
 SMOOTHING = 50.0
 FLUSH_WORDS = 200_000
@@ -172,13 +171,13 @@ class Trained:
         self.class_n, self.class_v, self.model = class_n, class_v, model
 
 
-def sequences(texts, symbols: Symbols, end: int, segment: int | None = None) -> list[np.ndarray]:
+def sequences(texts, symbols: Symbols, end: int) -> list[np.ndarray]:
     out = []
     for text in texts:
         words = words_of(text)
         seq = np.full(len(words) + 1, end, np.int32)
         seq[:-1] = np.fromiter(map(symbols.__getitem__, words), np.int32, len(words))
-        out += [seq] if not segment else [seq[i:i + segment] for i in range(0, len(seq), segment)]
+        out.append(seq)
     return out
 
 
@@ -216,27 +215,25 @@ def train(training: DataFrame, counts: DataFrame) -> Trained:
     prior = np.concatenate([[c for c, _ in symbols], class_n + 0.5, [n_docs + 0.5]])
     prior /= prior.sum()
 
-    sample = [r.text for r in training.where(F.length("text").between(*INIT_CHARS))
-              .orderBy(F.xxhash64("text"), "doc_id").select("text").limit(INIT_DOCS).collect()]
-    seqs = sequences(sample, Symbols(own, ()), end, SEGMENT)
-    tries = []
-    for seed in range(INIT_TRIES if seqs else 0):
-        model, log = Model.guess(prior, seed), 0.0
-        for _ in range(INIT_PASSES):
-            first, moves, emitted, log = model.expected(seqs)
-            model = Model.fitted(first, moves, emitted, prior)
-        tries.append((log, seed, model))
-    model = max(tries, key=lambda x: x[:2])[2] if tries else Model.guess(prior, 0)
-
+    model = Model.guess(prior, 0)
     shared = spark.sparkContext.broadcast((own, [w.encode() for _, w in top]))
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Symbols(*shared.value)
+        for pdf in batches:
+            yield pd.DataFrame({"symbols": [s.astype("<u2").tobytes() for s in sequences(pdf["text"], known, end)]})
+
+    # there are at most SYMBOL_WORDS + CLASSES + 1 symbols, so 16 bits hold one
+    encoded = stored(training.select("text").mapInPandas(encode, "symbols binary"), "symbols")
     for _ in range(PASSES if n_docs else 0):
         now = spark.sparkContext.broadcast(model)
 
         def expect(batches: Iterator[pd.DataFrame], now=now) -> Iterator[pd.DataFrame]:
-            known, model = Symbols(*shared.value), now.value
+            model = now.value
             sums = [np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((len(prior), STATES))]
             for pdf in batches:
-                for part in batches_of(sequences(pdf["text"], known, end, SEGMENT)):
+                whole = [np.frombuffer(x, "<u2").astype(np.int32) for x in pdf["symbols"]]
+                for part in batches_of([x[i:i + SEGMENT] for x in whole for i in range(0, len(x), SEGMENT)]):
                     for into, x in zip(sums, model.expected(part)):
                         into += x
             table = np.concatenate([sums[0][None, :], sums[1], sums[2]])
@@ -244,7 +241,7 @@ def train(training: DataFrame, counts: DataFrame) -> Trained:
             yield pd.DataFrame({"at": at, **{f"s{s}": table[at, s] for s in range(STATES)}})
 
         schema = "at long, " + ", ".join(f"s{s} double" for s in range(STATES))
-        got = columns(training.select("text").mapInPandas(expect, schema).groupBy("at")
+        got = columns(encoded.mapInPandas(expect, schema).groupBy("at")
                       .agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(STATES)]))
         table = np.zeros((1 + STATES + len(prior), STATES))
         for s in range(STATES):

@@ -131,3 +131,15 @@ def test_shares_of_a_class_sum_to_one(spark):
     assert all((x.kept + hmm.DISCOUNT * x.v) / x.n == pytest.approx(1) for x in r)
     words = counts.limit(200).select("word", F.expr(f"pmod(xxhash64(right(word, 3)), {hmm.CLASSES})").alias("k")).collect()
     assert all(hmm.class_of(w.word.encode()) == w.k for w in words)
+
+
+def test_training_runs_over_all_documents_in_tasks_only(spark, monkeypatch):
+    """No parameters are fitted on the driver to some of the documents, and the passes move those of the guess."""
+    def on_the_driver(*_):
+        raise AssertionError("recursions over documents that the driver holds")
+
+    monkeypatch.setattr(hmm.Model, "expected", on_the_driver)  # the workers have the module's own
+    docs = spark.createDataFrame([(i, " ".join(["ab", "cd"] * 120)) for i in range(60)], "doc_id long, text string")
+    trained = hmm.train(docs, hmm.word_counts(docs))
+    guess = hmm.Model.guess(np.ones(len(trained.model.b)) / len(trained.model.b), 0)
+    assert np.abs(trained.model.a - guess.a).max() > 0.05
