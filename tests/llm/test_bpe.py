@@ -57,3 +57,13 @@ def test_small_piece_table(spark, monkeypatch):
     b = bpe.ByteBPE(RANKS, vocab.PATTERN)
     text = "one two three four five six seven one two three"
     assert b.decode(b.encode(text)) == text.encode() and len(b.pieces) <= 3
+
+
+def test_answers_about_pairs_are_kept_by_one_number():
+    import public_tokenizers
+
+    from recolib.llm import bpe
+    b = bpe.ByteBPE(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert bytes(b.decode(b.encode("unlikely zzqxkv wörter"))) == "unlikely zzqxkv wörter".encode()
+    assert b.compatible and all(type(k) is int for k in b.compatible)
+    assert all(v == (b.merge(b.token[k >> 32] + b.token[k & 0xFFFFFFFF]) == [k >> 32, k & 0xFFFFFFFF]) for k, v in b.compatible.items())
