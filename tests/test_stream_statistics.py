@@ -71,3 +71,10 @@ def test_nothing_yet_and_no_stream(spark, tmp_dir):
     job = StatisticsJob(spark, f"{tmp_dir}/none")
     assert job.current_totals().count() == 0
     assert totals(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_replayed_streams_take_a_million_rows_a_batch(spark):
+    from recolib.plans import catalog
+
+    assert catalog._stream_files(spark.range(3_000)) == catalog.STREAM_FILES
+    assert catalog._stream_files(spark.range(9_500_000)) == 10
