@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from recolib.functions import columns as X
 
@@ -31,16 +31,19 @@ def upsert_ratings(base: DataFrame, events: DataFrame) -> DataFrame:
 
     Pairs untouched by the events pass through unchanged (duplicates included);
     a touched pair with several stored rows becomes one row with the earliest
-    stored timestamp. Output timestamps are epoch seconds (bigint).
+    stored timestamp. A null user or product equals no other. Output timestamps are
+    epoch seconds (bigint). ``base`` is read and shuffled once: the one row per pair of
+    the events goes to the stored rows of its pair.
     """
-    ev = latest_per_pair(events)
     keys = ["userId", "productId"]
-    touched_keys = ev.select(*keys)
-    # only the stored rows of touched pairs are aggregated, not the whole table
-    stored = (base.join(touched_keys, keys, "left_semi")
-              .groupBy(*keys).agg(F.min("timestamp").cast("bigint").alias("base_ts")))
-    touched = ev.join(stored, keys, "left").select(
-        *keys, "score", F.coalesce("base_ts", "first_ts").cast("bigint").alias("timestamp"))
-    untouched = base.join(touched_keys, keys, "left_anti").select(
-        *keys, "score", F.col("timestamp").cast("bigint").alias("timestamp"))
-    return untouched.unionByName(touched)
+    seconds = F.col("timestamp").cast("bigint").alias("timestamp")
+    new = latest_per_pair(events).withColumnRenamed("first_ts", "timestamp").select(*keys, "score", seconds, F.lit(True).alias("_new"))
+    rows = base.select(*keys, "score", seconds, F.lit(False).alias("_new")).unionByName(new)
+    paired = F.col("userId").isNotNull() & F.col("productId").isNotNull()
+    # rows that are in no pair are dealt by their values, not sent to one task
+    rows = rows.withColumn("_alone", F.when(~paired, F.xxhash64(*keys, "score", "timestamp")))
+    pair = Window.partitionBy(*keys, "_alone")
+    rows = rows.select(*keys, "score", "timestamp", "_new", (paired & F.max("_new").over(pair)).alias("_touched"),
+                       F.min(F.when(paired & ~F.col("_new"), F.col("timestamp"))).over(pair).alias("_base_ts"))
+    return rows.where(F.col("_new") | ~F.col("_touched")).select(
+        *keys, "score", F.when(F.col("_new"), F.coalesce("_base_ts", "timestamp")).otherwise(F.col("timestamp")).alias("timestamp"))
