@@ -15,6 +15,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack
 
 import ahocorasick
 import numpy as np
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 # What a worker keeps: pieces of up to MAX_KEPT_CHARS characters (a few hundred bytes each, ids included) and answers
-# about pairs (about a hundred bytes each). A full table is emptied and refilled, so both stay below some 60 MB.
-MAX_PIECES = 150_000
+# about pairs (about a hundred bytes each), both below some 60 MB. A full table of pairs is emptied and refilled; of the
+# pieces the older half goes, unless asked for since.
+MAX_PIECES = 200_000
 MAX_PAIRS = 500_000
 MAX_KEPT_CHARS = 32
 
@@ -50,13 +52,16 @@ class ByteBPE:
 
     def merge(self, data: bytes) -> list[int]:
         """Ids by repeatedly joining the adjacent pair of lowest rank, leftmost first. Used on joined pairs only."""
-        parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if best == 1 << 60:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts]
+        rank, none, cut = self.ranks.get, 1 << 60, list(range(len(data) + 1))
+        joined = [rank(data[i:i + 2], none) for i in range(len(data) - 1)]
+        while joined and (best := min(joined)) != none:
+            at = joined.index(best)
+            del cut[at + 1], joined[at]
+            if at < len(joined):
+                joined[at] = rank(data[cut[at]:cut[at + 2]], none)
+            if at:
+                joined[at - 1] = rank(data[cut[at - 1]:cut[at + 1]], none)
+        return [self.ranks[data[a:z]] for a, z in zip(cut, cut[1:])]
 
     def fits(self, a: int, b: int) -> bool:
         key = a << 32 | b
@@ -78,24 +83,32 @@ class ByteBPE:
         if whole is not None:
             return [whole]
         longest = {end + 1 - size: i for end, (size, i) in self.automaton.iter(data.decode("latin-1"))}
-        n, size, fits, shorter = len(data), self.size, self.fits, self.shorter
+        n, size, known, prefix = len(data), self.size, self.compatible.get, self.prefix
         ids: list[int] = []
         dead = bytearray(n + 1)  # positions given up
         pos = 0
         i = longest.get(0)
+        before = None  # the token that ends at ``pos``
         while pos < n:
-            while i is not None and (dead[pos + size[i]] or (ids and not fits(ids[-1], i))):
-                i = shorter(i)
+            while i is not None:
+                if not dead[pos + size[i]]:
+                    if before is None:
+                        break
+                    fit = known(before << 32 | i)
+                    if fit or (fit is None and self.fits(before, i)):
+                        break
+                i = prefix[i] if i in prefix else self.shorter(i)
             if i is None:
-                if not ids:
+                if before is None:
                     raise ValueError("the rank file lacks single bytes")
                 dead[pos] = 1
                 i = ids.pop()  # its end is dead now, so a shorter token follows
                 pos -= size[i]
+                before = ids[-1] if ids else None
             else:
                 ids.append(i)
                 pos += size[i]
-                i = longest.get(pos)
+                before, i = i, longest.get(pos)
         return ids
 
     def encode(self, text: str) -> np.ndarray:
@@ -106,17 +119,22 @@ class ByteBPE:
 
 
 class _Pieces(dict):
-    """Piece -> its ids as little-endian bytes; emptied when ``MAX_PIECES`` are held. Long pieces are not kept."""
+    """Piece -> its ids as little-endian bytes. When half of ``MAX_PIECES`` are held they become the older half, from which
+    a piece comes back if asked for, and those that were the older half go. Long pieces are not kept."""
 
     def __init__(self, bpe: ByteBPE) -> None:
         self.bpe = bpe
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self.bpe.compatible) > MAX_PAIRS:
-            self.bpe.compatible.clear()
-        out = np.array(self.bpe.encode_piece(piece.encode("utf-8")), "<u4").tobytes()
+        out = self.older.get(piece)
+        if out is None:
+            if len(self.bpe.compatible) > MAX_PAIRS:
+                self.bpe.compatible.clear()
+            out = pack("<%dI" % len(ids := self.bpe.encode_piece(piece.encode("utf-8"))), *ids)
         if len(piece) <= MAX_KEPT_CHARS:
-            if len(self) >= MAX_PIECES:
+            if len(self) >= MAX_PIECES // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = out
         return out

@@ -67,3 +67,16 @@ def test_answers_about_pairs_are_kept_by_one_number():
     assert bytes(b.decode(b.encode("unlikely zzqxkv wörter"))) == "unlikely zzqxkv wörter".encode()
     assert b.compatible and all(type(k) is int for k in b.compatible)
     assert all(v == (b.merge(b.token[k >> 32] + b.token[k & 0xFFFFFFFF]) == [k >> 32, k & 0xFFFFFFFF]) for k, v in b.compatible.items())
+
+
+def test_pieces_asked_for_again_outlive_a_full_table(monkeypatch):
+    """op9: a full table was emptied, so frequent pieces were encoded anew each time."""
+    monkeypatch.setattr(bpe, "MAX_PIECES", 8)
+    b, encoded = bpe.ByteBPE(RANKS, vocab.PATTERN), []
+    plain = b.encode_piece
+    monkeypatch.setattr(b, "encode_piece", lambda data: encoded.append(data) or plain(data))
+    words = [f" {a}{c}zq" for a in "abcdefg" for c in "hijklmn"]
+    for w in words:
+        assert b.decode(b.encode(f" often{w}")).decode() == f" often{w}"
+    assert encoded.count(b" often") == 1 and len(encoded) == 1 + len(words)
+    assert len(b.pieces) + len(b.pieces.older) <= 8
