@@ -20,6 +20,7 @@ from struct import pack
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 MAX_PIECES = 200_000
 MAX_PAIRS = 500_000
 MAX_KEPT_CHARS = 32
+# Texts whose strings and ids are held at a time, whatever the size of the batch that Spark sends
+TEXTS_AT_ONCE = 128
 
 
 class ByteBPE:
@@ -163,17 +166,26 @@ def round_trip(text: Column, rank_path: str, pattern: str) -> Column:
     return digest(text)
 
 
+def encoded_batches(batches: Iterator[pa.Array], bpe: ByteBPE) -> Iterator[pa.Array]:
+    """The rows of :func:`encode_column` for batches of texts, ``TEXTS_AT_ONCE`` at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), TEXTS_AT_ONCE):
+            texts = [t or "" for t in batch.slice(at, TEXTS_AT_ONCE).to_pylist()]
+            ids = [bpe.encode(t) for t in texts]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).view("<i4")))
+            same = pa.array([bpe.decode(i) == t.encode("utf-8") for i, t in zip(ids, texts)])
+            yield pa.StructArray.from_arrays([lists, same], ["ids", "round_trip"])
+
+
 def encode_column(text: Column, rank_path: str, pattern: str) -> Column:
     """Struct of ``ids`` (array<int>; null text: empty) and ``round_trip``, whether decoding them gives the text's bytes.
-    One function, so that a task has one Python worker and one copy of the tables."""
+    One function, so that a task has one Python worker and one copy of the tables. The batch stays in Arrow's form and the
+    ids leave in small batches: a worker holds the strings and ids of ``TEXTS_AT_ONCE`` texts, not of a whole batch."""
 
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bpe = load(rank_path, pattern)
-        for texts in batches:
-            ids = [bpe.encode(t or "") for t in texts]
-            same = [bpe.decode(i) == (t or "").encode("utf-8") for i, t in zip(ids, texts)]
-            yield pd.DataFrame({"ids": [i.view("<i4") for i in ids], "round_trip": same})  # no copy of the batch's ids
+    @F.arrow_udf("ids array<int>, round_trip boolean")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return encoded_batches(batches, load(rank_path, pattern))
 
     return encode(text)
 

@@ -2,6 +2,7 @@ import hashlib
 import base64
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as vocab
 import pytest
 import tiktoken
@@ -80,3 +81,20 @@ def test_pieces_asked_for_again_outlive_a_full_table(monkeypatch):
         assert b.decode(b.encode(f" often{w}")).decode() == f" often{w}"
     assert encoded.count(b" often") == 1 and len(encoded) == 1 + len(words)
     assert len(b.pieces) + len(b.pieces.older) <= 8
+
+
+def test_a_large_batch_is_encoded_and_leaves_in_small_ones(spark):
+    """pipeline, memory of bpe_encoding: a whole batch's strings and ids were held at once."""
+    texts = [None if k % 7 == 0 else "" if k % 5 == 0 else f"token {k} " * (k % 4) for k in range(3 * bpe.TEXTS_AT_ONCE + 5)]
+    b, read = bpe.load(RANKS, vocab.PATTERN), []
+    source = (read.append(len(x)) or x for x in [pa.array(texts, pa.string()), pa.array([], pa.string()), pa.array(texts[:3], pa.string())])
+    out = bpe.encoded_batches(source, b)
+    first = next(out)
+    assert len(first) == bpe.TEXTS_AT_ONCE and read == [len(texts)]
+    rest = list(out)
+    assert max(map(len, rest)) == bpe.TEXTS_AT_ONCE
+    rows = [r for part in [first, *rest] for r in part.to_pylist()]
+    assert rows == [{"ids": b.encode(t or "").tolist(), "round_trip": True} for t in texts + texts[:3]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = docs.select("doc_id", bpe.encode_column("text", RANKS, vocab.PATTERN).alias("e")).select("doc_id", "e.*").collect()
+    assert {r.doc_id: r.ids for r in got} == {k: b.encode(t or "").tolist() for k, t in enumerate(texts)}
