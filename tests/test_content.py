@@ -134,3 +134,26 @@ def test_indexed_terms_lose_no_pair_and_form_fewer(spark, threshold):
     # a vector's terms without an index weigh less than the threshold
     for r in index.groupBy("productId").agg(F.first("weights").alias("w"), F.collect_list("term").alias("t")).collect():
         assert sum(w * w for t, w in r.w.items() if t not in r.t) <= threshold ** 2
+
+
+@pytest.mark.parametrize("hashed", [False, True])
+def test_classes_hold_every_link_and_do_not_grow_with_copies(spark, hashed):
+    make, full = ((content.hashed_content_classes, content.hashed_content_pairs) if hashed
+                  else (content.content_classes, content.content_pairs))
+
+    def tables(copies):
+        rows = [(100 * k + p, *rest) for k in range(copies) for p, *rest in [*PRODUCTS, (8, "h", "", "", "red|red|rod")]]
+        pairs, members = make(products_df(spark, rows))
+        return rows, pairs.collect(), members.collect()
+
+    _, once, _ = tables(1)
+    rows, pairs, members = tables(6)
+    # idf moves a little with the copies, so links of a few pairs may come or go, but copies make no pairs
+    assert len(pairs) <= len(once) + 2 and len(members) == len({r[0] for r in rows})
+    cls, own = {r.productId: r.cls for r in members}, {r.cls: r.score for r in members}
+    assert all(c <= p and cls[c] == c for p, c in cls.items())
+    score = {(r.productId, r.simProductId): r.score for r in pairs} | {(c, c): s for c, s in own.items() if s > 0.4}
+    got = {(a, b): score[cls[a], cls[b]] for a in cls for b in cls if a != b and (cls[a], cls[b]) in score}
+    want = {(r.productId, r.simProductId): r.score for r in full(products_df(spark, rows)).collect()}
+    assert set(got) == set(want) and want
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
