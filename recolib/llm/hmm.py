@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ DISCOUNT = 0.5
 PASSES = 6  # over all training documents
 SEGMENT = 512  # training splits longer documents into pieces of so many tokens; scoring does not
 SMOOTHING = 50.0
+SCALED = 8  # steps between scalings of the recursions: probabilities of so many symbols stay far above the least double
 FLUSH_WORDS = 200_000
 MAX_ENDINGS = 200_000  # word endings a worker remembers the class of
 SCORED_ROWS = 500  # documents whose rare words are held at a time
@@ -81,48 +83,65 @@ class Model:
         self.pi, self.a, self.b = pi, a, b
 
     def forward(self, seqs: list[np.ndarray], keep: bool = False):
-        """Natural log likelihood of each sequence (of at least one symbol), and with ``keep`` what backward needs."""
+        """Natural log likelihood of each sequence (of at least one symbol), and with ``keep`` what backward needs.
+
+        Symbols are laid out step by step, those of the sequences still going on side by side, so that every step reads
+        and writes one run of rows. Rows are scaled to a sum of 1 every ``SCALED`` steps and at a sequence's end."""
         size = np.array([len(s) for s in seqs])
         order = np.argsort(-size, kind="stable")
-        flat = np.concatenate([seqs[i] for i in order])
         size = size[order]
-        start = np.concatenate([[0], np.cumsum(size)[:-1]])
         active = np.searchsorted(-size, -np.arange(size[0]), side="left")  # sequences longer than t come first
-        log = np.zeros(len(seqs))
+        first = np.cumsum(active) - active
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        flat = np.empty(len(step), np.intp)
+        flat[first[step] + np.repeat(np.arange(len(size)), size)] = np.concatenate([seqs[i] for i in order])
+        del step
+        log, ones, scales = np.zeros(len(seqs)), np.ones(STATES), []
         if keep:
-            alphas, scales = np.empty((len(flat), STATES)), np.empty(len(flat))
+            emit = self.b.take(flat, axis=0)
+            alphas = np.empty_like(emit)
         alpha = None
-        for t in range(size[0]):
-            n = active[t]
-            at = start[:n] + t
-            p = self.pi if t == 0 else alpha[:n] @ self.a
-            alpha = p * self.b[flat[at]]
-            c = alpha.sum(axis=1)
-            alpha /= c[:, None]
-            log[:n] += np.log(c)
+        for t, n in enumerate(active.tolist()):
+            rows = slice(first[t], first[t] + n)
+            b = emit[rows] if keep else self.b.take(flat[rows], axis=0)
+            now = alphas[rows] if keep else np.empty_like(b)
+            if t:
+                np.matmul(alpha[:n], self.a, out=now)
+                now *= b
+            else:
+                np.multiply(self.pi, b, out=now)
+            alpha = now
+            low = 0 if t % SCALED == 0 or t + 1 == len(active) else active[t + 1]
+            c = now[low:] @ ones
+            now[low:] /= c[:, None]
+            log[low:n] += np.log(c)
             if keep:
-                alphas[at], scales[at] = alpha, c
+                scales.append((low, c))
         out = np.empty(len(seqs))
         out[order] = log
-        return (out, flat, start, active, alphas, scales) if keep else out
+        return (out, flat, first, active, alphas, emit, scales) if keep else out
 
     def expected(self, seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected first states (S), transitions (S x S) and emissions (M x S) of the sequences, and their log
         likelihood."""
-        log, flat, start, active, alphas, scales = self.forward(seqs, keep=True)
-        gamma = np.empty_like(alphas)
-        moves = np.zeros_like(self.a)
+        log, flat, first, active, gamma, emit, scales = self.forward(seqs, keep=True)
+        moves, back = np.zeros_like(self.a), np.ascontiguousarray(self.a.T)
         beta = np.ones((len(seqs), STATES))
         for t in range(len(active) - 1, -1, -1):
             n = active[t]
-            at = start[:n] + t
-            gamma[at] = alphas[at] * beta[:n]
+            rows = slice(first[t], first[t] + n)
+            gamma[rows] *= beta[:n]  # those of earlier steps are still the forward ones
             if t:
-                w = self.b[flat[at]] * beta[:n] / scales[at][:, None]
-                moves += alphas[at - 1].T @ w
-                beta[:n] = w @ self.a.T
-        emitted = np.stack([np.bincount(flat, gamma[:, s], len(self.b)) for s in range(STATES)], axis=1)
-        return gamma[start].sum(axis=0), moves * self.a, emitted, float(log.sum())
+                low, c = scales[t]
+                w = emit[rows]
+                w *= beta[:n]
+                w[low:] /= c[:, None]
+                moves += gamma[first[t - 1]:first[t - 1] + n].T @ w
+                np.matmul(w, back, out=beta[:n])
+        starts = gamma[:active[0]].sum(axis=0)
+        by_state = np.ascontiguousarray(gamma.T)
+        emitted = np.stack([np.bincount(flat, g, len(self.b)) for g in by_state], axis=1)
+        return starts, moves * self.a, emitted, float(log.sum())
 
     @staticmethod
     def fitted(first: np.ndarray, moves: np.ndarray, emitted: np.ndarray, prior: np.ndarray) -> Model:
@@ -171,16 +190,17 @@ class Trained:
         self.class_n, self.class_v, self.model = class_n, class_v, model
 
 
-def sequences(texts, symbols: Symbols, end: int) -> list[np.ndarray]:
-    out = []
-    for text in texts:
-        words = words_of(text)
-        seq = np.full(len(words) + 1, end, np.int32)
-        seq[:-1] = np.fromiter(map(symbols.__getitem__, words), np.int32, len(words))
-        out.append(seq)
+def sequence(words: list[bytes], symbols: Symbols, end: int) -> np.ndarray:
+    """Symbols of a text's words, and the end."""
+    out = np.full(len(words) + 1, end, np.int32)
+    out[:-1] = np.fromiter(map(symbols.__getitem__, words), np.int32, len(words))
     return out
 
 
+def sequences(texts, symbols: Symbols, end: int) -> list[np.ndarray]:
+    return [sequence(words_of(text), symbols, end) for text in texts]
+
+
 def batches_of(seqs: list[np.ndarray], tokens: int = 600_000) -> Iterator[list[np.ndarray]]:
     """Runs of sequences of about ``tokens`` symbols in all, so that kept recursions stay small."""
     held, n = [], 0
@@ -258,48 +278,51 @@ def score(docs: DataFrame, counts: DataFrame, trained: Trained) -> DataFrame:
     """(row, doc_id, held_out, n_tokens, n_known, base_score, score) for ``docs`` (row, doc_id, held_out, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(trained)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = shared.value
         symbols, end = Symbols(t.own, t.count), len(t.own) + CLASSES
-        for pdf in batches:
-            seqs = sequences(pdf["text"], symbols, end)
-            pdf["log"] = np.concatenate([t.model.forward(part) for part in batches_of(seqs, 4_000_000)]) / np.log(10)
-            for at in range(0, len(pdf), SCORED_ROWS):
-                yield from scored(t, pdf.iloc[at:at + SCORED_ROWS], symbols)
-
-    def scored(t: Trained, pdf: pd.DataFrame, symbols: Symbols) -> Iterator[pd.DataFrame]:
         total, least = math.log10(t.n + 0.1 * (t.v + 1)), t.n / SYMBOL_WORDS
-        n_tokens, n_known, base_score, extra_score = [], [], [], []
-        rare_row, rare_word, rare_n = [], [], []
-        for row, text in zip(pdf["row"], pdf["text"]):
-            words = Counter(words_of(text))
-            keys = list(words)
-            n = np.fromiter(words.values(), np.int64, len(keys))
-            c = np.array(list(map(t.count.get, keys)), float)  # nan: not in the table
-            missing = np.isnan(c)
-            known = int(n[~missing].sum())
-            base = float((n * np.log10(c + 0.1))[~missing].sum()) + math.log10(t.n_docs + 0.1) - (known + 1) * total
-            shared_class = np.flatnonzero(c < least)
-            whole = t.class_n[[symbols[keys[i]] - len(t.own) for i in shared_class]] if len(shared_class) else 1.0
-            extra = float((n[shared_class] * np.log10((c[shared_class] - DISCOUNT) / whole)).sum())
-            lost = np.flatnonzero(missing).tolist()
-            rare_row += [row] * len(lost)
-            rare_word += [keys[i].decode() for i in lost]
-            rare_n += n[lost].tolist()
-            n_tokens.append(int(n.sum()) + 1)
-            n_known.append(known + (t.n > 0))
-            base_score.append(base)
-            extra_score.append(extra)
-        names = [f.split()[0] for f in SCORED.split(", ")]
-        done = pdf[["row", "doc_id", "held_out"]].assign(
-            n_tokens=n_tokens, n_known=n_known, base_score=base_score, score=pdf["log"] + extra_score, word=None, n=None)
-        yield done[names].astype({"doc_id": "Int64", "n": "Int64"})
-        if rare_row:
-            rare = pd.DataFrame({"row": rare_row, "word": rare_word, "n": rare_n}).reindex(columns=names)
-            whole_numbers = ("doc_id", "n_tokens", "n_known")
-            yield rare.astype({k: "Int64" for k in whole_numbers} | {"held_out": "boolean"})
-
-    out = stored(docs.mapInPandas(run, SCORED), "scores")
+        for batch in batches:
+            rows = batch["row"].to_pylist()
+            seqs, n_tokens, n_known, base_score, extra_score = [], [], [], [], []
+            rare_row, rare_word, rare_n = [], [], []
+            for k, text in enumerate(batch["text"]):
+                words = words_of(text.as_py())
+                times = Counter(words)
+                keys = list(times)
+                n = np.fromiter(times.values(), np.int64, len(keys))
+                seqs.append(sequence(words, symbols, end))
+                c = np.array(list(map(t.count.get, keys)), float)  # nan: not in the table
+                missing = np.isnan(c)
+                known = int(n[~missing].sum())
+                base = float((n * np.log10(c + 0.1))[~missing].sum()) + math.log10(t.n_docs + 0.1) - (known + 1) * total
+                shared_class = np.flatnonzero(c < least)
+                whole = t.class_n[[symbols[keys[i]] - len(t.own) for i in shared_class]] if len(shared_class) else 1.0
+                extra = float((n[shared_class] * np.log10((c[shared_class] - DISCOUNT) / whole)).sum())
+                lost = np.flatnonzero(missing).tolist()
+                rare_row += [rows[k]] * len(lost)
+                rare_word += [keys[i] for i in lost]
+                rare_n += n[lost].tolist()
+                n_tokens.append(len(words) + 1)
+                n_known.append(known + (t.n > 0))
+                base_score.append(base)
+                extra_score.append(extra)
+                if rare_row and (k + 1 == len(rows) or (k + 1) % SCORED_ROWS == 0):
+                    yield filled(len(rare_row), row=rare_row, word=pa.array(rare_word, pa.binary()).cast(pa.string()), n=rare_n)
+                    rare_row, rare_word, rare_n = [], [], []
+            if rows:
+                log = np.concatenate([t.model.forward(part) for part in batches_of(seqs, 4_000_000)]) / np.log(10)
+                yield filled(len(rows), row=batch["row"], doc_id=batch["doc_id"], held_out=batch["held_out"], n_tokens=n_tokens,
+                             n_known=n_known, base_score=base_score, score=log + extra_score)
+
+    def filled(size: int, **known) -> pa.RecordBatch:
+        """``size`` rows of ``SCORED``, null in the columns not given."""
+        kinds = {"long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "string": pa.string()}
+        fields = [(f.split()[0], kinds[f.split()[1]]) for f in SCORED.split(", ")]
+        return pa.record_batch([known[f] if isinstance(known.get(f), pa.Array) else pa.array(known[f], kind) if f in known
+                                else pa.nulls(size, kind) for f, kind in fields], [f for f, _ in fields])
+
+    out = stored(docs.mapInArrow(run, SCORED), "scores")
     done = out.where("word is null").drop("word", "n")
     total = float(trained.n + 0.1 * (trained.v + 1))
     classes = docs.sparkSession.createDataFrame(

@@ -143,3 +143,33 @@ def test_training_runs_over_all_documents_in_tasks_only(spark, monkeypatch):
     trained = hmm.train(docs, hmm.word_counts(docs))
     guess = hmm.Model.guess(np.ones(len(trained.model.b)) / len(trained.model.b), 0)
     assert np.abs(trained.model.a - guess.a).max() > 0.05
+
+
+def test_few_scalings_lose_nothing_on_unlike_lengths():
+    """Rows are scaled every few steps and where a sequence ends: lengths around that, rare symbols, against one by one."""
+    rnd = np.random.default_rng(4)
+    prior = np.array([0.5, 0.3, 0.2 - 1e-9, 1e-9])
+    m = hmm.Model.guess(prior, 1)
+    seqs = [rnd.integers(0, 4, n) for n in (1, 2, hmm.SCALED - 1, hmm.SCALED, hmm.SCALED + 1, 2 * hmm.SCALED + 3, 700, 1, 90)]
+    seqs.append(np.full(300, 3))
+    logs, first, moves, emitted = [], 0, 0, 0
+    for s in seqs:
+        alphas, scales = [], []
+        for t, x in enumerate(s):
+            alpha = (m.pi if t == 0 else alphas[-1] @ m.a) * m.b[x]
+            scales.append(alpha.sum())
+            alphas.append(alpha / alpha.sum())
+        beta, own = np.ones(hmm.STATES), np.zeros((4, hmm.STATES))
+        for t in range(len(s) - 1, -1, -1):
+            own[s[t]] += alphas[t] * beta
+            if t:
+                w = m.b[s[t]] * beta / scales[t]
+                moves = moves + np.outer(alphas[t - 1], w) * m.a
+                beta = m.a @ w
+            else:
+                first = first + alphas[0] * beta
+        logs.append(np.log(scales).sum())
+        emitted = emitted + own
+    assert m.forward(seqs) == pytest.approx(logs, rel=1e-12)
+    got = m.expected(seqs)
+    assert all(a == pytest.approx(b, rel=1e-9) for a, b in zip(got, (first, moves, emitted, sum(logs))))
