@@ -157,3 +157,22 @@ def test_classes_hold_every_link_and_do_not_grow_with_copies(spark, hashed):
     want = {(r.productId, r.simProductId): r.score for r in full(products_df(spark, rows)).collect()}
     assert set(got) == set(want) and want
     assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+@pytest.mark.parametrize("name", ["content_pairs"])
+def test_queries_spell_out_every_pair_of_copies(spark, tmp_dir, name):
+    import duckdb
+
+    import __spark_entry__ as E
+    names = ["red bolt", "red bolt", "red bolt", "blue ring", "blue ring", "green rod"]
+    rows = [(k, n, f"Brand#{n[0]}", "SMALL") for k, n in enumerate(names)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_brand string, p_type string") \
+        .coalesce(1).write.parquet(f"{tmp_dir}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_dir}/part.parquet/*.parquet')")
+    got = E.queries()[name](spark, tmp_dir)
+    want = con.execute(E.oracle_sql()[name])
+    assert got.columns == [c[0] for c in want.description]
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+    pairs = {(r.productId, r.simProductId) for r in got.collect()}
+    assert {(a, b) for a in (0, 1, 2) for b in (0, 1, 2) if a != b} | {(3, 4), (4, 3)} <= pairs
