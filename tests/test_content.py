@@ -159,7 +159,7 @@ def test_classes_hold_every_link_and_do_not_grow_with_copies(spark, hashed):
     assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
 
 
-@pytest.mark.parametrize("name", ["content_pairs", "content_recs", "similarity_flatten"])
+@pytest.mark.parametrize("name", ["content_pairs", "content_recs", "similarity_flatten", "hashed_tfidf"])
 def test_queries_spell_out_every_pair_of_copies(spark, tmp_dir, name):
     import duckdb
 
