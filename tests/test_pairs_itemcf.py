@@ -1,11 +1,12 @@
 import itertools
+import math
 import random
 from collections import Counter, defaultdict
 
 import pytest
 
 from recolib.operators import itemcf
-from recolib.operators.pairs import gram_pairs, mirror
+from recolib.operators.pairs import gram_pairs, mirror, narrowed
 
 
 def brute_gram(rows):
@@ -128,3 +129,31 @@ def test_sums_of_pairs_need_no_shuffle_of_pairs_and_hot_items_are_cut(spark):
         executed = out._jdf.queryExecution().executedPlan().toString()
         first = executed.index("Exchange")
         assert executed[:first].count("HashAggregate") == 2 and "REPARTITION_BY_NUM" in executed[first:first + 200]
+
+
+@pytest.mark.parametrize("big", [0, 1 << 40])
+def test_rounds_and_narrow_types_give_the_same_lists(spark, monkeypatch, big):
+    rng = random.Random(3)
+    rows = [(u + big, rng.randrange(60) * (1 + big // 100), 1.0, 0) for u in range(25) for _ in range(rng.randrange(1, 30))]
+    ratings = spark.createDataFrame(rows, "userId bigint, productId bigint, score double, timestamp bigint")
+    kept = []
+    monkeypatch.setattr(itemcf, "stored", lambda df, name: kept.append(df.count()) or df)
+    whole = itemcf.item_cf_top(ratings, 5, block=4)
+    assert not kept
+    parts = itemcf.item_cf_top(ratings, 5, block=4, round_pairs=1000)
+    assert len(kept) > 3 and sum(kept) == whole.count() and max(kept) < whole.count() / 2
+    assert whole.schema == parts.schema and sorted(whole.collect()) == sorted(parts.collect())
+    every = itemcf.item_cf_pairs(ratings, block=4)
+    assert dict(every.dtypes) == {"productId": "bigint", "simProductId": "bigint", "co": "bigint", "score": "double"}
+    n = Counter(p for _, p, *_ in rows)
+    co = Counter((a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] != b[1])
+    want = {k: (c, pytest.approx(c / math.sqrt(n[k[0]] * n[k[1]]))) for k, c in co.items()}
+    assert {(r.productId, r.simProductId): (r.co, r.score) for r in every.collect()} == want
+
+
+def test_integers_travel_in_the_smallest_type_that_holds_them(spark):
+    rows = spark.createDataFrame([(1, -128, 40_000, 1 << 31, 2.0), (None, 127, -1, 0, 1.0)],
+                                 "a bigint, b bigint, c int, d bigint, e double")
+    got = narrowed(rows, ["a", "b", "c", "d", "e"])
+    assert dict(got.dtypes) == {"a": "tinyint", "b": "tinyint", "c": "int", "d": "bigint", "e": "double"}
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.collect()))
